@@ -36,7 +36,7 @@ RULES = (
     Rule("few_words", "n_words < 10"),
     Rule("repeated_windows", "100 * n_repeat_words > 20 * n_words"),
     Rule("symbols", "100 * n_symbols > 10 * n_words"),
-    Rule("repeated_lines", "100 * n_dup_lines > 30 * n_lines"),
+    Rule("repeated_lines", "100 * n_dup_lines > 50 * n_lines"),
     Rule("short_words", "word_chars < 2 * n_words"),
     Rule("long_words", "word_chars > 15 * n_words"),
 )
@@ -152,7 +152,7 @@ m as (select doc_id, len(ws)::bigint as n_words, length(array_to_string(ws, ''))
         (len(ls) - len(list_distinct(ls)))::bigint as n_dup_lines, coalesce(cov.n, 0)::bigint as n_repeat_words
       from w left join cov using (r)),
 b as (select *, (case when n_words < 10 then 1 else 0 end + case when 100 * n_repeat_words > 20 * n_words then 2 else 0 end
-        + case when 100 * n_symbols > 10 * n_words then 4 else 0 end + case when 100 * n_dup_lines > 30 * n_lines then 8 else 0 end
+        + case when 100 * n_symbols > 10 * n_words then 4 else 0 end + case when 100 * n_dup_lines > 50 * n_lines then 8 else 0 end
         + case when word_chars < 2 * n_words then 16 else 0 end + case when word_chars > 15 * n_words then 32 else 0 end)::bigint as failed_bits from m)
 select doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, failed_bits,
   (failed_bits & 3) <> 0 as base_failed, failed_bits = 0 as kept from b
