@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docflow.llm import byte_bpe, quality_rules, simhash
+from docflow.llm import byte_bpe, pareto_mix, pii, quality_rules, simhash
 from docflow.llm.common import table
 
 
@@ -22,15 +22,26 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.query(table(spark, sf_dir, "documents"))
 
 
+def op6_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pareto_mix.query(table(spark, sf_dir, "documents"))
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.query(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
         "op2_byte_bpe": op2_byte_bpe,
         "op4_simhash": op4_simhash,
+        "op6_pareto_mix": op6_pareto_mix,
+        "op10_pii": op10_pii,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_quality_rules": quality_rules.ORACLE,
+        "op6_pareto_mix": pareto_mix.ORACLE,
     }
