@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["WORD", "WORD_BREAK", "StorageLevel", "let", "shared_dir", "stored", "table", "words_of"]
+__all__ = ["WORD", "WORD_BREAK", "StorageLevel", "let", "shared_dir", "stored", "table", "where_settled", "words_of"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +58,17 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def where_settled(df: DataFrame, condition: Column | str) -> DataFrame:
+    """``df.where(condition)``, with the condition evaluated once and in place.
+
+    The optimizer would push the filter below the projections that its columns come from and repeat their
+    expressions for each use; it does not push one through a generator that the kept rows come out of.
+    """
+    condition = F.expr(condition) if isinstance(condition, str) else condition
+    rows = F.array(F.struct(*(F.col(f"`{c}`") for c in df.columns)))
+    return df.select(F.explode_outer(F.when(condition, rows)).alias("_kept")).where("_kept is not null").select("_kept.*")
+
+
 def words_of(text: Column) -> Column:
     """The words of a text, in order; none for null or blank texts."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), WORD_BREAK), "")

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docflow.llm.common import WORD, stored
+from docflow.llm.common import WORD, stored, where_settled
 
 CAP, PASSES, BINS, SEED = 3, 3, 4096, 42
 WEIGHTS = (1, 2, 3)
@@ -125,7 +125,7 @@ def mixed(df: DataFrame, text_col: str = "text", source_col: str = "source", id_
 
 def mix(df: DataFrame, text_col: str = "text", source_col: str = "source", id_col: str = "doc_id") -> DataFrame:
     """The rows of ``df``, each as often as the mix takes it."""
-    return mixed(df, text_col, source_col, id_col).where("copies > 0").select("_row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy")).select("_row.*")
+    return where_settled(mixed(df, text_col, source_col, id_col), "copies > 0").select("_row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy")).select("_row.*")
 
 
 def query(df: DataFrame) -> DataFrame:

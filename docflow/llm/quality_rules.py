@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docflow.llm.common import WORD, WORD_BREAK, let, words_of
+from docflow.llm.common import WORD, WORD_BREAK, let, where_settled, words_of
 
 WINDOW = 5
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
@@ -135,7 +135,7 @@ def ablation(ledger: DataFrame, policy: str = "v2") -> DataFrame:
 def keep_quality(df: DataFrame, policy: str = "v2", text_col: str = "text") -> DataFrame:
     """The rows of ``df`` that the policy keeps, with their own columns only."""
     packed = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_row"), F.col(f"`{text_col}`").alias("_t"))
-    return apply_policy(quality_ledger(packed, "_t", ("_row",)), policy).where("kept").select("_row.*")
+    return where_settled(apply_policy(quality_ledger(packed, "_t", ("_row",)), policy), "kept").select("_row.*")
 
 
 #: DuckDB SQL for the ledger of ``documents`` under policy v2.
