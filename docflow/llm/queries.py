@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docflow.llm import byte_bpe, pareto_mix, pii, quality_rules, simhash
+from docflow.llm import byte_bpe, pareto_mix, pii, quality_rules, simhash, warc
 from docflow.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(table(spark, sf_dir, "documents"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.query(table(spark, sf_dir, "pages"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.query(table(spark, sf_dir, "documents"))
 
@@ -34,6 +38,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
         "op2_byte_bpe": op2_byte_bpe,
+        "op3_warc": op3_warc,
         "op4_simhash": op4_simhash,
         "op6_pareto_mix": op6_pareto_mix,
         "op10_pii": op10_pii,
