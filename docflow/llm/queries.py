@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docflow.llm import byte_bpe, pareto_mix, pii, quality_rules, simhash, warc
+from docflow.llm import byte_bpe, html_crf, pareto_mix, pii, pu_quality, quality_rules, simhash, toxic_segments, warc
 from docflow.llm.common import table
 
 
@@ -26,10 +26,22 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.query(table(spark, sf_dir, "documents"))
 
 
+def op5_html_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_crf.extract(table(spark, sf_dir, "pages"))
+
+
 def op6_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pareto_mix.query(table(spark, sf_dir, "documents"))
 
 
+def op7_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pu_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxic_segments.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.query(table(spark, sf_dir, "documents"))
 
@@ -40,7 +52,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_byte_bpe": op2_byte_bpe,
         "op3_warc": op3_warc,
         "op4_simhash": op4_simhash,
+        "op5_html_crf": op5_html_crf,
         "op6_pareto_mix": op6_pareto_mix,
+        "op7_pu_quality": op7_pu_quality,
+        "op9_toxic_segments": op9_toxic_segments,
         "op10_pii": op10_pii,
     }
 
