@@ -1,8 +1,10 @@
 """Toxic passages by maximum-scoring segments over token log-odds.
 
-Log-odds of a token between toxic and clean labelled documents have an informative Dirichlet prior (the corpus
-frequency of the token, worth one per cent of all counts); tokens whose log-odds are significantly positive
-score that much, every other token costs ``GAP``. The Ruzzo-Tompa scan finds all maximal scoring segments of a text in
+Tokens are words and, marked by a star, their first ``STEM`` letters. Log-odds of a token's occurrences between toxic
+and clean labelled documents have an informative Dirichlet prior (the corpus frequency of the token, worth one per
+cent of all counts); tokens that clearly more toxic documents have than chance would give (a likelihood-ratio test
+over documents, so repetition in one of them does not count) score their log-odds, a word the larger of its own and
+its stem's; every other word costs ``GAP``. The Ruzzo-Tompa scan finds all maximal scoring segments of a text in
 linear time. Karlin-Altschul statistics turn segment scores into normalised ones: lambda solves the moment
 equation of the scores under clean frequencies, and a segment counts by how far it exceeds what chance gives in a text
 of this length. The sums over a document's segments become a probability by logistic regression on training rows.
@@ -19,6 +21,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -31,8 +34,8 @@ from docflow.llm.common import stored
 from docflow.llm.learning import SAMPLE_ROWS, drawn, fit_logistic, fold, sigmoid
 
 FOLDS, HELD_OUT, THRESHOLD = 4, 2, 0.3
-#: What a token without significant log-odds costs; prior counts as a share of all counts; least z of a scoring token.
-GAP, PRIOR, LEAST_Z = 0.25, 0.01, 1.96
+#: What a word without a scoring token costs; prior counts as a share of all counts; least likelihood ratio statistic.
+GAP, PRIOR, LEAST_RATIO, STEM = 0.25, 0.01, 15.0, 5
 #: Karlin-Altschul K, of which only the logarithm matters.
 K = 0.1
 TOKEN = re.compile(r"[^\W\d_]+")
@@ -64,18 +67,22 @@ def segments(hits: Iterable[tuple[int, float]], gap: float = GAP) -> list[tuple[
 
 @dataclass(frozen=True)
 class Model:
-    """Scores of significant tokens, lambda, and the logistic map from segment sums to a probability."""
+    """Scores of significant words and stems, lambda, and the logistic map from segment sums to a probability."""
 
     scores: dict[str, float]
+    stems: dict[str, float]
     rate: float
     weights: tuple[float, ...] = (0.0, 0.0)
     offset: float = 0.0
 
     def passages(self, text: str | None) -> tuple[int, list[tuple[int, int, float]]]:
         """The tokens of a text and its segments with normalised scores, significant or not."""
-        get, hits, n = self.scores.get, [], -1
+        get, stems, hits, n = self.scores.get, self.stems.get, [], -1
         for n, token in enumerate(TOKEN.findall((text or "").lower())):
-            if (s := get(token)) is not None:
+            s = get(token, 0.0)
+            if (t := stems(token[:STEM], 0.0)) > s:
+                s = t
+            if s:
                 hits.append((n, s))
         chance = math.log(K * (n + 2))
         return n + 1, [(a, b, self.rate * s - max(chance, 0.0)) for a, b, s in segments(hits)]
@@ -86,8 +93,9 @@ class Model:
 
 
 def token_counts(known: DataFrame) -> DataFrame:
-    """(token, toxic, clean): labelled documents with the token, by label."""
+    """(token, toxic, clean, toxic_docs, clean_docs): occurrences and labelled documents with each word and stem."""
     own = known.select("label", "text")
+    names = ("token", "toxic", "clean", "toxic_docs", "clean_docs")
 
     def work(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in rows:
@@ -95,28 +103,44 @@ def token_counts(known: DataFrame) -> DataFrame:
                 part = b.slice(at, 256)
                 counts: dict[str, list[int]] = {}
                 for label, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    for token in set(TOKEN.findall((text or "").lower())):
-                        counts.setdefault(token, [0, 0])[label == 1] += 1
-                yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array([c[1] for c in counts.values()], pa.int64()), pa.array([c[0] for c in counts.values()], pa.int64())], names=["token", "toxic", "clean"])
-
-    return own.mapInArrow(work, "token string, toxic long, clean long").groupBy("token").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-
-
-def log_odds(counts: DataFrame) -> tuple[list[tuple[str, float, float]], float]:
+                    words = Counter(TOKEN.findall((text or "").lower()))
+                    stems: Counter = Counter()
+                    for w, n in words.items():
+                        if len(w) >= STEM:
+                            stems[f"{w[:STEM]}*"] += n
+                    k = 0 if label == 1 else 1
+                    for found in (words, stems):
+                        for w, n in found.items():
+                            c = counts.setdefault(w, [0, 0, 0, 0])
+                            c[k] += n
+                            c[2 + k] += 1
+                yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), *(pa.array([c[i] for c in counts.values()], pa.int64()) for i in range(4))], names=names)
+
+    rows = own.mapInArrow(work, "token string, " + ", ".join(f"{n} long" for n in names[1:]))
+    return rows.groupBy("token").agg(*(F.sum(n).alias(n) for n in names[1:]))
+
+
+def log_odds(counts: DataFrame, toxic_docs: int, clean_docs: int) -> tuple[list[tuple[str, float, float]], float]:
     """(token, score, clean frequency) of the significant tokens, and lambda."""
+    if not toxic_docs or not clean_docs:
+        return [], 1.0
     counts = stored(counts, "tokens")
-    n1, n0 = counts.agg(F.sum("toxic"), F.sum("clean")).first()
+    n1, n0 = counts.where("token not like '%*'").agg(F.sum("toxic"), F.sum("clean")).first()
     if not n1 or not n0:
         return [], 1.0
     prior = PRIOR * (n1 + n0)
     a = (F.col("toxic") + F.col("clean")) * PRIOR
     odds = lambda y, n: F.log((y + a) / (n + prior - y - a))
     delta = odds(F.col("toxic"), n1) - odds(F.col("clean"), n0)
-    z = delta / F.sqrt(1 / (F.col("toxic") + a) + 1 / (F.col("clean") + a))
-    found = counts.select("token", delta.alias("score"), ((F.col("clean") + a) / (n0 + prior)).alias("p"), z.alias("z")).where(F.col("z") >= LEAST_Z)
+    share = toxic_docs / (toxic_docs + clean_docs)
+    docs = F.col("toxic_docs") + F.col("clean_docs")
+    part = lambda seen, due: F.when(seen > 0, seen * F.log(seen / due)).otherwise(0.0)
+    ratio = 2 * (part(F.col("toxic_docs"), docs * share) + part(F.col("clean_docs"), docs * (1 - share)))
+    found = counts.select("token", delta.alias("score"), ((F.col("clean") + a) / (n0 + prior)).alias("p"), ratio.alias("ratio"), (F.col("toxic_docs") > docs * share).alias("more"))
+    found = found.where((F.col("ratio") >= LEAST_RATIO) & F.col("more") & (F.col("score") > 0))
     kept = [(r.token, r.score, r.p) for r in found.select("token", "score", "p").toLocalIterator()]
     s, p = np.array([k[1] for k in kept]), np.array([k[2] for k in kept])
-    rest = 1 - p.sum()
+    rest = max(1 - p.sum(), 0.5)
     low, high = 0.0, 5.0
     for _ in range(60 if len(kept) else 0):  # the moment equation has one positive root, as the mean score is negative
         mid = (low + high) / 2
@@ -128,16 +152,17 @@ def train(df: DataFrame, labels: DataFrame, label_col: str = "toxic") -> Model:
     own = labels.where((fold(F.col("doc_id"), FOLDS) != HELD_OUT) & F.col(label_col).isNotNull())
     own = own.groupBy("doc_id").agg(F.max(label_col).alias("label"))
     known = df.select("doc_id", "text").join(own, "doc_id").select("text", "label")
-    kept, rate = log_odds(token_counts(known))
-    model = Model({t: s for t, s, _ in kept}, rate)
+    by_label = {r.label: r.n for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    kept, rate = log_odds(token_counts(known), by_label.get(1, 0), by_label.get(0, 0))
+    model = Model({t: s for t, s, _ in kept if t[-1] != "*"}, {t[:-1]: s for t, s, _ in kept if t[-1] == "*"}, rate)
     sample = drawn(known, F.col("text"), 2 * SAMPLE_ROWS)
     found = sample.select("label", "text").mapInArrow(lambda rows: _featured(rows, model), "label int, a double, b double").toArrow()
     x = np.column_stack([found.column(i).to_numpy() for i in (1, 2)]) if found.num_rows else np.empty((0, 2))
     y = found.column(0).to_numpy().astype(float) if found.num_rows else np.empty(0)
     if not (y == 1).any() or not (y == 0).any():
-        return Model(model.scores, model.rate, (0.0, 0.0), -30.0)
+        return Model(model.scores, model.stems, model.rate, (0.0, 0.0), -30.0)
     weights, offset = fit_logistic(x, y)
-    return Model(model.scores, model.rate, tuple(map(float, weights)), offset)
+    return Model(model.scores, model.stems, model.rate, tuple(map(float, weights)), offset)
 
 
 def _featured(rows: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
