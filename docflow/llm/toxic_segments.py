@@ -9,7 +9,8 @@ linear time. Karlin-Altschul statistics turn segment scores into normalised ones
 equation of the scores under clean frequencies, and a segment counts by how far it exceeds what chance gives in a text
 of this length. The sums over a document's segments become a probability by logistic regression on training rows.
 
-Token counts cover all labelled training rows, combined before the shuffle; the model that travels has the significant
+Training takes a bounded, hash-drawn sample of labelled rows (twice ``learning.SAMPLE_ROWS``), broadcast to the documents,
+so no text is shuffled; token counts are combined before their shuffle. The model that travels has the significant
 tokens only, which are words frequent in toxic and rare in clean text.
 
 Defined results: null and blank texts have no segments and get the least score; a null id is not held out and is
@@ -151,12 +152,12 @@ def log_odds(counts: DataFrame, toxic_docs: int, clean_docs: int) -> tuple[list[
 def train(df: DataFrame, labels: DataFrame, label_col: str = "toxic") -> Model:
     own = labels.where((fold(F.col("doc_id"), FOLDS) != HELD_OUT) & F.col(label_col).isNotNull())
     own = own.groupBy("doc_id").agg(F.max(label_col).alias("label"))
-    known = df.select("doc_id", "text").join(own, "doc_id").select("text", "label")
+    own = drawn(own, F.col("doc_id"), 2 * SAMPLE_ROWS)
+    known = df.select("doc_id", "text").join(F.broadcast(own), "doc_id").select("text", "label")  # some 40,000 rows of 12 bytes at most
     by_label = {r.label: r.n for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     kept, rate = log_odds(token_counts(known), by_label.get(1, 0), by_label.get(0, 0))
     model = Model({t: s for t, s, _ in kept if t[-1] != "*"}, {t[:-1]: s for t, s, _ in kept if t[-1] == "*"}, rate)
-    sample = drawn(known, F.col("text"), 2 * SAMPLE_ROWS)
-    found = sample.select("label", "text").mapInArrow(lambda rows: _featured(rows, model), "label int, a double, b double").toArrow()
+    found = known.select("label", "text").mapInArrow(lambda rows: _featured(rows, model), "label int, a double, b double").toArrow()
     x = np.column_stack([found.column(i).to_numpy() for i in (1, 2)]) if found.num_rows else np.empty((0, 2))
     y = found.column(0).to_numpy().astype(float) if found.num_rows else np.empty(0)
     if not (y == 1).any() or not (y == 0).any():
