@@ -25,6 +25,7 @@ import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,8 @@ GAP, PRIOR, LEAST_RATIO, STEM = 0.25, 0.01, 15.0, 5
 #: Karlin-Altschul K, of which only the logarithm matters.
 K = 0.1
 TOKEN = re.compile(r"[^\W\d_]+")
+#: Words that a worker remembers the score of; it starts anew when full.
+SEEN = 300_000
 
 
 def segments(hits: Iterable[tuple[int, float]], gap: float = GAP) -> list[tuple[int, int, float]]:
@@ -66,6 +69,22 @@ def segments(hits: Iterable[tuple[int, float]], gap: float = GAP) -> list[tuple[
     return [(int(a), int(b), right - left) for a, b, left, right in stack]
 
 
+class _Seen(dict):
+    """Scores of words as they stand in texts; that of a new one is the largest of its parts'."""
+
+    def __init__(self, scores: dict[str, float], stems: dict[str, float]):
+        super().__init__()
+        self.scores, self.stems = scores, stems
+
+    def __missing__(self, word: str) -> float:
+        parts = TOKEN.findall(word.lower())
+        s = self[word] = max((max(self.scores.get(p, 0.0), self.stems.get(p[:STEM], 0.0)) for p in parts), default=0.0)
+        return s
+
+    def __reduce__(self):
+        return _Seen, (self.scores, self.stems)
+
+
 @dataclass(frozen=True)
 class Model:
     """Scores of significant words and stems, lambda, and the logistic map from segment sums to a probability."""
@@ -76,17 +95,18 @@ class Model:
     weights: tuple[float, ...] = (0.0, 0.0)
     offset: float = 0.0
 
+    @cached_property
+    def seen(self) -> _Seen:
+        return _Seen(self.scores, self.stems)
+
     def passages(self, text: str | None) -> tuple[int, list[tuple[int, int, float]]]:
         """The tokens of a text and its segments with normalised scores, significant or not."""
-        get, stems, hits, n = self.scores.get, self.stems.get, [], -1
-        for n, token in enumerate(TOKEN.findall((text or "").lower())):
-            s = get(token, 0.0)
-            if (t := stems(token[:STEM], 0.0)) > s:
-                s = t
-            if s:
-                hits.append((n, s))
-        chance = math.log(K * (n + 2))
-        return n + 1, [(a, b, self.rate * s - max(chance, 0.0)) for a, b, s in segments(hits)]
+        words = (text or "").split()
+        if len(self.seen) > SEEN:
+            self.seen.clear()
+        hits = [(n, s) for n, s in enumerate(map(self.seen.__getitem__, words)) if s]
+        chance = max(math.log(K * (len(words) + 1)), 0.0)
+        return len(words), [(a, b, self.rate * s - chance) for a, b, s in segments(hits)]
 
     def features(self, text: str | None) -> tuple[float, float]:
         found = [s for *_, s in self.passages(text)[1] if s > 0]
