@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docflow.llm import byte_bpe, html_crf, pareto_mix, pii, pu_quality, quality_rules, simhash, toxic_segments, warc
+from docflow.llm import byte_bpe, html_crf, nn_descent, pareto_mix, pii, pu_quality, quality_rules, simhash, toxic_segments, warc
 from docflow.llm.common import table
 
 
@@ -38,6 +38,10 @@ def op7_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pu_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.query(table(spark, sf_dir, "embeddings"))
+
+
 def op9_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxic_segments.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -55,6 +59,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_html_crf": op5_html_crf,
         "op6_pareto_mix": op6_pareto_mix,
         "op7_pu_quality": op7_pu_quality,
+        "op8_nn_descent": op8_nn_descent,
         "op9_toxic_segments": op9_toxic_segments,
         "op10_pii": op10_pii,
     }
