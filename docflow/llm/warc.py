@@ -20,9 +20,11 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import io
 import uuid
 import zlib
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyarrow import fs
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 
 from docflow.llm.common import own_dir, stored
 
-ARCHIVE_BYTES = 64 << 20
+ARCHIVE_BYTES, CHUNK, LEVEL = 64 << 20, 1 << 16, 4
 #: Payloads of at least this many bytes are deduplicated.
 LEAST_BYTES = 0
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -55,17 +57,23 @@ def record(kind: str, headers: list[tuple[str, str]], block: bytes) -> bytes:
     """One gzip member with one record."""
     lines = [("WARC-Type", kind), *headers, ("WARC-Block-Digest", f"sha1:{digest_of(block)}"), ("Content-Type", "application/http; msgtype=response"), ("Content-Length", str(len(block)))]
     head = "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in lines) + "\r\n"
-    return gzip.compress(head.encode() + block + b"\r\n\r\n", 6, mtime=0)
-
-
-def records(data: bytes | memoryview) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
-    """(position, length, headers, block) of each record of an archive's bytes."""
-    at = 0
-    while at < len(data):
-        unzip = zlib.decompressobj(31)
-        raw = unzip.decompress(data[at:])
-        length = len(data) - at - len(unzip.unused_data)
-        head, _, body = raw.partition(b"\r\n\r\n")
+    return gzip.compress(head.encode() + block + b"\r\n\r\n", LEVEL, mtime=0)
+
+
+def records(file: BinaryIO) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
+    """(position, length, headers, block) of each record of an archive, read piece by piece."""
+    at, rest = 0, b""
+    while rest or (rest := file.read(CHUNK)):
+        unzip, parts, taken = zlib.decompressobj(31), [], 0
+        while not unzip.eof:
+            if not (rest := rest or file.read(CHUNK)):
+                raise ValueError(f"the record at byte {at} is cut short")
+            parts.append(unzip.decompress(rest))
+            taken += len(rest)
+            rest = b""
+        rest = unzip.unused_data
+        length = taken - len(rest)
+        head, _, body = b"".join(parts).partition(b"\r\n\r\n")
         version, *lines = head.decode().split("\r\n")
         if not version.startswith("WARC/"):
             raise ValueError(f"no record at byte {at}")
@@ -100,6 +108,11 @@ class Archives:
             self.file = None
 
 
+def _spread(df: DataFrame, archives: int) -> DataFrame:
+    """Rows by archive, in a stated number of partitions: the rows are few bytes, but each stands for much work."""
+    return df.repartition(max(1, archives), "archive")
+
+
 def _open(folder: str) -> str:
     store, path = fs.FileSystem.from_uri(folder)
     store.create_dir(path, recursive=True)
@@ -148,7 +161,7 @@ def deduplicate(spark: SparkSession, index: DataFrame, folder: str, least: int =
     joined = index.join(originals(index, least).hint("merge"), ["payload_digest", "payload_bytes"], "left")
     again = F.coalesce(F.col("o.ord") != F.col("ord"), F.lit(False))
     plan = joined.select("archive", "position", "length", F.when(again, F.col("o.record")).alias("record"), F.when(again, F.col("o.uri")).alias("uri"))
-    plan = plan.repartition("archive").sortWithinPartitions("archive", "position")
+    plan = _spread(plan, index.select("archive").distinct().count()).sortWithinPartitions("archive", "position")
 
     def work(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, source, at, made = Archives(folder), None, None, {}
@@ -159,7 +172,7 @@ def deduplicate(spark: SparkSession, index: DataFrame, folder: str, least: int =
                         source.close()
                     source, at = fs.FileSystem.from_uri(folder)[0].open_input_file(archive), archive
                 source.seek(position)
-                _, _, headers, block = next(records(source.read(length)))
+                _, _, headers, block = next(records(io.BytesIO(source.read(length))))
                 fresh = [(k, v) for k, v in headers.items() if k.startswith(("WARC-Date", "WARC-Target", "WARC-Payload", "WARC-Record-ID", "X-"))]
                 if original is None:
                     data = record("response", fresh, block)
@@ -179,16 +192,15 @@ def deduplicate(spark: SparkSession, index: DataFrame, folder: str, least: int =
 
 def read_archives(archives: DataFrame, folder: str) -> DataFrame:
     """The index of the records in ``archives.archive``; payload bytes and digest of responses are of what was read."""
-    spread = archives.select("archive").repartition("archive")
+    spread = _spread(archives.select("archive"), archives.count())
 
     def work(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store = fs.FileSystem.from_uri(folder)[0]
         for batch in rows:
             for archive in batch.column(0).to_pylist():
-                with store.open_input_file(archive) as file:
-                    data = file.read()
                 index = []
-                for at, length, h, block in records(memoryview(data)):
+                file = store.open_input_stream(archive, compression=None, buffer_size=1 << 20)
+                for at, length, h, block in records(file):
                     payload = block.partition(b"\r\n\r\n")[2]
                     response = h["WARC-Type"] == "response"
                     digest = digest_of(payload) if response else h["WARC-Payload-Digest"].removeprefix("sha1:")
@@ -196,6 +208,7 @@ def read_archives(archives: DataFrame, folder: str) -> DataFrame:
                     if len(index) == 4096:
                         yield _index(index)
                         index = []
+                file.close()
                 yield _index(index)
 
     return spread.mapInArrow(work, INDEX)
