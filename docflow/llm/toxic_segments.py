@@ -51,22 +51,23 @@ def segments(hits: Iterable[tuple[int, float]], gap: float = GAP) -> list[tuple[
     Tokens between them cost ``gap`` each. Candidates are kept in a stack with cumulative scores before and after, as
     Ruzzo and Tompa do; a candidate merges with those it dominates.
     """
-    stack: list[list[float]] = []  # first, end, left sum, right sum
+    stack: list[list[float]] = []  # first, end, sum before, sum after, place of the last one with a smaller sum before
     total, at = 0.0, 0
     for position, score in hits:
         total -= gap * (position - at)
         at = position + 1
-        new = [position, at, total, total := total + score]
-        while stack:
+        new = [position, at, total, total := total + score, -1]
+        while True:
             j = len(stack) - 1
             while j >= 0 and stack[j][2] >= new[2]:
-                j -= 1
+                j = stack[j][4]  # everything between starts no lower
+            new[4] = j
             if j < 0 or stack[j][3] >= new[3]:
                 break
-            new = [stack[j][0], new[1], stack[j][2], new[3]]
+            new = [stack[j][0], new[1], stack[j][2], new[3], -1]
             del stack[j:]
         stack.append(new)
-    return [(int(a), int(b), right - left) for a, b, left, right in stack]
+    return [(int(a), int(b), right - left) for a, b, left, right, _ in stack]
 
 
 class _Seen(dict):
