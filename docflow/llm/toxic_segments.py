@@ -174,6 +174,9 @@ def train(df: DataFrame, labels: DataFrame, label_col: str = "toxic") -> Model:
     own = labels.where((fold(F.col("doc_id"), FOLDS) != HELD_OUT) & F.col(label_col).isNotNull())
     own = own.groupBy("doc_id").agg(F.max(label_col).alias("label"))
     own = drawn(own, F.col("doc_id"), 2 * SAMPLE_ROWS)
+    # Copies of a text teach once.
+    hashes = df.select("doc_id", F.xxhash64("text").alias("h")).join(F.broadcast(own), "doc_id")
+    own = stored(hashes.groupBy("h").agg(F.min("doc_id").alias("doc_id"), F.max("label").alias("label")).select("doc_id", "label"), "teachers")
     known = df.select("doc_id", "text").join(F.broadcast(own), "doc_id").select("text", "label")  # some 40,000 rows of 12 bytes at most
     by_label = {r.label: r.n for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     kept, rate = log_odds(token_counts(known), by_label.get(1, 0), by_label.get(0, 0))
