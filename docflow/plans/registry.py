@@ -3,16 +3,38 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+MODULES = ("text_queries", "quality_queries", "structure_queries", "metric_queries")
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Registers a function under its name, with its oracle."""
+
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def load() -> None:
+    for m in MODULES:
+        import_module(f"docflow.plans.{m}")
+
+
+def queries() -> dict[str, Query]:
+    load()
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    load()
     return dict(ORACLES)
