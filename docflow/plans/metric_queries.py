@@ -1 +1,124 @@
-"""Queries."""
+"""Queries over telemetry: rates, ratios, quantiles, gauges and name mapping, with ``events`` as the telemetry."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from docflow.operators import metrics
+from docflow.plans.registry import query
+
+
+def _events(spark, sf_dir):
+    return metrics.telemetry(spark.read.parquet(f"{sf_dir}/events.parquet"))
+
+
+def _sliding(size: int, step: int, body: str, tail: str = "") -> str:
+    starts = f"SELECT *, make_timestamp(((floor(epoch(ts) / {step}) * {step} - k * {step}) * 1000000)::bigint) AS window_start FROM events, (SELECT unnest(range({size // step})) AS k)"
+    return f"WITH w AS ({starts}) SELECT window_start, {body} FROM w GROUP BY window_start{tail}"
+
+
+@query(_sliding(300, 60, "round(count_if(event_type <> 'error')::double / count(*) * 100, 6) AS success_pct, CASE WHEN count_if(event_type <> 'error')::double / count(*) * 100 >= 95 THEN 'ok' WHEN count_if(event_type <> 'error')::double / count(*) * 100 >= 85 THEN 'warn' ELSE 'alert' END AS state"))
+def success_rate_5m(spark, sf_dir):
+    return metrics.success_rate(_events(spark, sf_dir), "5 minutes", "1 minute").withColumn("success_pct", F.round("success_pct", 6))
+
+
+@query(_sliding(300, 60, "event_type AS stage, round(count(*) / 300.0, 9)::double AS per_second", ", event_type").replace("GROUP BY window_start, event_type", "GROUP BY window_start, event_type"))
+def request_rate(spark, sf_dir):
+    return metrics.rate(_events(spark, sf_dir), "5 minutes", "1 minute", 300, by=("stage",)).withColumn("per_second", F.round("per_second", 9))
+
+
+@query(_sliding(300, 60, "round(count_if(event_type = 'error') / 300.0, 9)::double AS per_second").replace("FROM w GROUP", "FROM w WHERE event_type = 'error' GROUP"))
+def error_rate(spark, sf_dir):
+    e = _events(spark, sf_dir).where(~F.col("success"))
+    return metrics.rate(e, "5 minutes", "1 minute", 300).withColumn("per_second", F.round("per_second", 9))
+
+
+@query(_sliding(3600, 600, "count(*)::double AS per_hour"))
+def files_per_hour(spark, sf_dir):
+    return metrics.rate(_events(spark, sf_dir), "1 hour", "10 minutes", 1).withColumnRenamed("per_second", "per_hour")
+
+
+BOUNDS = "[" + ", ".join(map(str, metrics.BUCKETS)) + "]"
+#: Values of the telemetry, in seconds.
+SECONDS = "(value / 20)"
+
+
+@query(
+    f"""WITH b AS (SELECT event_type AS stage, list_position(list_transform({BOUNDS}, lambda x: {SECONDS} <= x), true) AS i FROM events),
+    n AS (SELECT stage, coalesce(i, {len(metrics.BUCKETS) + 1}) AS i, count(*) AS c FROM b GROUP BY ALL),
+    g AS (SELECT stage, g.i FROM (SELECT DISTINCT stage FROM n), (SELECT unnest(range(1, {len(metrics.BUCKETS) + 2})) AS i) g),
+    cum AS (SELECT stage, i, coalesce(c, 0) AS c, sum(coalesce(c, 0)) OVER (PARTITION BY stage ORDER BY i) AS upto, sum(coalesce(c, 0)) OVER (PARTITION BY stage) AS total FROM g LEFT JOIN n USING (stage, i)),
+    hit AS (SELECT stage, min(i) AS i FROM cum WHERE upto >= 0.95 * total GROUP BY stage)
+    SELECT stage, round(CASE WHEN i > {len(metrics.BUCKETS)} THEN {metrics.BUCKETS[-1]} ELSE coalesce({BOUNDS}[i - 1], 0) + ({BOUNDS}[i] - coalesce({BOUNDS}[i - 1], 0)) * (0.95 * total - (upto - c)) / c END, 6)::double AS p95 FROM hit JOIN cum USING (stage, i)"""
+)
+def p95_histogram(spark, sf_dir):
+    """Interpolated in the cumulative histogram of fixed buckets."""
+    return metrics.histogram_quantile(_events(spark, sf_dir), 0.95, by=("stage",)).select("stage", F.round("quantile", 6).alias("p95"))
+
+
+@query(f"SELECT event_type AS stage, round(quantile_cont({SECONDS}, 0.95), 9) AS p95, round(quantile_cont({SECONDS}, 0.5), 9) AS p50 FROM events GROUP BY event_type")
+def p95_exact(spark, sf_dir):
+    e = _events(spark, sf_dir)
+    return e.groupBy("stage").agg(F.round(F.percentile("seconds", 0.95), 9).alias("p95"), F.round(F.percentile("seconds", 0.5), 9).alias("p50"))
+
+
+@query("SELECT event_type AS stage, arg_max(value / 20, (ts, event_id)) AS value FROM events GROUP BY event_type")
+def active_gauge(spark, sf_dir):
+    """The last value of each series."""
+    return metrics.last_value(_events(spark, sf_dir), by=("stage",))
+
+
+@query("SELECT lang AS target_language, count(*)::bigint AS n FROM documents GROUP BY lang")
+def language_distribution(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").groupBy(F.col("lang").alias("target_language")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT least(floor(n_chars / 500), 20)::bigint AS bucket, count(*)::bigint AS n FROM documents GROUP BY ALL")
+def quality_histogram(spark, sf_dir):
+    d = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return d.groupBy(F.least(F.floor(F.col("n_chars") / 500), F.lit(20)).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT event_type AS stage, (props->>'k')::bigint AS k, count(*)::bigint AS n FROM events WHERE contains(event_type, 'c') AND json_valid(props) GROUP BY ALL")
+def log_filter(spark, sf_dir):
+    """Log lines that contain a word, their JSON read."""
+    e = _events(spark, sf_dir).where(F.contains("stage", F.lit("c")))
+    parsed = e.withColumn("j", F.from_json("labels", "k bigint")).where("j is not null")
+    return parsed.groupBy("stage", F.col("j.k").alias("k")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(_sliding(300, 60, "round(count_if(event_type <> 'error') / 300.0 * (SELECT avg(value) FROM events), 6)::double AS tokens_per_second").replace("FROM w GROUP", "FROM w WHERE event_type <> 'error' GROUP"))
+def token_rate(spark, sf_dir):
+    """The rate of successes times the mean tokens of one."""
+    e = _events(spark, sf_dir)
+    r = metrics.rate(e.where("success"), "5 minutes", "1 minute", 300)
+    mean = e.agg((F.avg("seconds") * 20).alias("tokens"))  # one row
+    return r.crossJoin(F.broadcast(mean)).select("window_start", F.round(F.col("per_second") * F.col("tokens"), 6).alias("tokens_per_second"))
+
+
+@query("WITH u AS (SELECT user_id % 10 AS host, date_trunc('hour', ts) AS hour, avg(value) FILTER (WHERE event_type <> 'view') AS used, max(value) AS lim FROM events GROUP BY ALL) SELECT host, hour, round(used / lim * 100, 6) AS pct FROM u WHERE lim > 0 AND used IS NOT NULL")
+def resource_usage(spark, sf_dir):
+    """Used against limit, joined by host and hour."""
+    e = _events(spark, sf_dir).select((F.col("user_id") % 10).alias("host"), F.date_trunc("hour", "ts").alias("hour"), "stage", (F.col("seconds") * 20).alias("v"))
+    used = e.where("stage <> 'view'").groupBy("host", "hour").agg(F.avg("v").alias("used"))
+    limit = e.groupBy("host", "hour").agg(F.max("v").alias("lim")).where("lim > 0")
+    return used.join(limit, ["host", "hour"]).select("host", F.col("hour").cast("timestamp_ntz").alias("hour"), F.round(F.col("used") / F.col("lim") * 100, 6).alias("pct"))
+
+
+NAMES = "CASE event_id % 4 WHEN 0 THEN 'task.' || event_type || '.processing_time' WHEN 1 THEN 'pdf.' || event_type || '.pages' WHEN 2 THEN 'vllm_' || event_type ELSE 'other.x' END"
+
+
+@query(f"SELECT metric, stage, count(*)::bigint AS n FROM (SELECT CASE WHEN regexp_matches(m, '^task\\.[^.]+\\.processing_time$') THEN 'task_processing_seconds' WHEN regexp_matches(m, '^pdf\\.[^.]+\\.pages$') THEN 'pdf_pages' WHEN starts_with(m, 'vllm_') THEN 'vllm_metric' END AS metric, nullif(regexp_extract(m, '^(?:task\\.([^.]+)\\.processing_time|pdf\\.([^.]+)\\.pages|vllm_(.*))$', 1) || regexp_extract(m, '^(?:task\\.([^.]+)\\.processing_time|pdf\\.([^.]+)\\.pages|vllm_(.*))$', 2) || regexp_extract(m, '^(?:task\\.([^.]+)\\.processing_time|pdf\\.([^.]+)\\.pages|vllm_(.*))$', 3), '') AS stage FROM (SELECT {NAMES} AS m FROM events)) GROUP BY ALL")
+def statsd_mapping(spark, sf_dir):
+    """Dotted names to a metric and labels, first rule first."""
+    rules = (("task.*.processing_time", "task_processing_seconds"), ("pdf.*.pages", "pdf_pages"), ("vllm_*", "vllm_metric"))
+    e = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.expr(NAMES).alias("m"))
+    m = e.select(metrics.mapped_name(F.col("m"), rules).alias("x"))
+    return m.groupBy("x.metric", F.get(F.col("x.labels"), F.lit(0)).alias("stage")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("WITH g AS (SELECT user_id, ts, event_id, CASE WHEN ts - lag(ts) OVER w < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)), s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS sid FROM g) SELECT user_id, min(ts) AS session_start, count(*)::bigint AS n FROM s GROUP BY user_id, sid")
+def session_windows(spark, sf_dir):
+    e = _events(spark, sf_dir)
+    s = e.groupBy("user_id", F.session_window("ts", "30 minutes").alias("w")).agg(F.count(F.lit(1)).alias("n"))
+    return s.select("user_id", F.col("w.start").cast("timestamp_ntz").alias("session_start"), "n")
