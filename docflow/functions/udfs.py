@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 from pyspark.sql.functions import udtf
+from pyspark.sql.types import IntegerType, StringType, StructType
 
 
-@udtf(returnType="pos: int, line: string")
+@udtf(returnType=StructType().add("pos", IntegerType()).add("line", StringType()))
 class MdLines:
     """Lines of a text."""
 
@@ -15,7 +16,7 @@ class MdLines:
             yield i, line
 
 
-@udtf(returnType="pos: int, chunk: string")
+@udtf(returnType=StructType().add("pos", IntegerType()).add("chunk", StringType()))
 class Chunks:
     """Pieces of a stated size with a stated overlap."""
 

@@ -8,17 +8,18 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from docflow.functions.rx import CJK, strip
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """The share of matching blocks of two texts."""
     return pd.Series([SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def ssim(a: pd.Series, b: pd.Series, width: pd.Series) -> pd.Series:
     """Structural similarity of two grey images (bytes, row by row) over windows of 7 by 7; 0 for images that do not fit."""
 

@@ -11,7 +11,7 @@ LARGEST = 500 * 1024 * 1024
 
 
 def pdf_files(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, modificationTime, length, content) of all PDF files below a folder."""
+    """(path, modificationTime, length, content) of all PDF files below a folder; Spark lists no empty ones."""
     return spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf").option("recursiveFileLookup", "true").load(folder)
 
 
