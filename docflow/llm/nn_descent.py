@@ -1,12 +1,12 @@
 """Approximate nearest neighbours by inner product: an NN-descent graph built by Spark shuffles, greedy graph search.
 
 Identical vectors are one node (their ids are attached at the end, the smallest that can matter), so copies cost nothing.
-Vectors gain one component that makes all norms equal, which turns largest inner product into nearest point. The graph
-starts from random projection trees: nodes of a leaf compare with each other. Then every round sends each node, with its
-vector, to its neighbours; nodes that meet at a common neighbour are neighbours of neighbours, compare, and hand the
-better ones back. A search starts at the query's own neighbours and expands its best unexpanded candidates together:
-queries travel to the nodes, score the neighbours kept there, and return what improves their beam. The best candidates
-are scored again in double precision on the original vectors.
+Neighbours are by inner product throughout, whatever the norms. The graph starts from random projection trees: nodes
+of a leaf compare with each other. Then every round sends each node, with its vector, to its neighbours; nodes that meet
+at a common neighbour are neighbours of neighbours, compare, and hand the better ones back. A search starts at the
+query's own node and expands its best unexpanded candidates together: queries travel to the nodes, score the neighbours
+kept there, and return what improves their beam. The best candidates are scored again in double precision on the
+original vectors.
 
 Every step shuffles rows by node (or leaf) and streams them, sorted, through numpy; a group is worked in blocks of
 ``BLOCK`` rows at most. Vectors travel as bytes with a scale each. Split planes come from a bounded sample
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from docflow.llm.common import stored
 
 DEGREE, TREES, LEAF, ROUNDS = 32, 12, 2048, 2
-KEEP, LINKS, BEAM, WIDTH, STEPS, EXACT = 16, 24, 256, 128, 3, 64
+KEEP, LINKS, BEAM, WIDTH, STEPS, EXACT = 16, 24, 256, 128, 4, 64
 SAMPLE, BLOCK, SEED = 20_000, 4096, 11
 
 
@@ -284,11 +284,11 @@ def _expand(rows: Iterator[pa.RecordBatch], both: bool) -> Iterator[pa.RecordBat
 
 
 def search(graph: DataFrame, queries: DataFrame, size: int) -> DataFrame:
-    """(node, ids, sims): the beam of each query node after ``STEPS`` expansions."""
+    """(node, ids, sims): the beam of each query (node, vec, scale) after ``STEPS`` expansions, the first of its own node."""
     links = graph.select("node", F.explode(F.slice("ids", 1, LINKS)).alias("other"))
     vectors = graph.select(F.col("node").alias("other"), "vec", "scale")
     near = stored(_by(links.join(vectors, "other").select("node", "other", "vec", "scale"), "node").mapInArrow(lambda b: _gather(b, size), ADJACENT), "adjacent")
-    beams = stored(graph.join(queries, "node", "left_semi").withColumn("done", F.array("node")), "beams")
+    beams = stored(queries.select("node", F.array("node").alias("ids"), F.array(F.lit(-1e30).cast("float")).alias("sims"), "vec", "scale", F.array().cast("array<long>").alias("done")), "beams")
     posts = near.select(F.col("node").alias("key"), F.lit(None).cast("long").alias("query"), F.col("vecs").alias("vec"), F.lit(None).cast("float").alias("scale"), F.lit(None).cast("float").alias("least"), "ids", "scales")
     for _ in range(STEPS):
         asked = beams.mapInArrow(lambda b: _expand(b, True), "key long, query long, vec binary, scale float, least float")
@@ -307,29 +307,28 @@ def nearest(df: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vector
     rows = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{vector_col}`").cast("array<double>").alias("v"))
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     valid = rows.where("id is not null and v is not null").where(~bad & F.exists(v, lambda x: x != 0))
-    first = valid.agg(F.min_by(F.size("v"), "id"), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).first()
+    first = valid.agg(F.min_by(F.size("v"), "id")).first()
     if first[0] is None:
         return spark.createDataFrame([], kind)
-    size, top = int(first[0]), float(first[1]) ** 0.5
+    size = int(first[0])
     valid = stored(valid.where(F.size("v") == size).distinct(), "vectors")
     classes = stored(valid.groupBy("v").agg(F.min("id").alias("node")), "classes")
     members = valid.join(classes.hint("merge"), "v").select("id", "node")
     members = stored(members, "members")
 
-    def pack(b: Iterator[pa.RecordBatch], query: bool) -> Iterator[pa.RecordBatch]:
+    def pack(b: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in b:
-            x = t.column("v").flatten().to_numpy(zero_copy_only=False).reshape(-1, size) / top
-            rest = np.sqrt(np.maximum(0, 1 - (x * x).sum(1)))
-            x = np.column_stack([x, rest])
+            x = t.column("v").flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
             scale = np.abs(x).max(1) / 127
             vec = np.round(x / scale[:, None]).astype(np.int8)
             yield pa.RecordBatch.from_arrays([t.column("node"), pa.array([r.tobytes() for r in vec], pa.binary()), pa.array(scale, pa.float32())], names=["node", "vec", "scale"])
 
-    nodes = stored(classes.mapInArrow(lambda b: pack(b, False), "node long, vec binary, scale float"), "nodes")
-    graph = build_graph(nodes, size + 1)
+    nodes = stored(classes.mapInArrow(pack, "node long, vec binary, scale float"), "nodes")
+    graph = build_graph(nodes, size)
     asking = members.where(is_query(F.col("id")))
-    found = search(graph, asking.select("node").distinct(), size + 1)
-    pairs = found.select("node", F.explode(F.concat(F.slice("ids", 1, EXACT), F.array("node"))).alias("other")).distinct()
+    queries = nodes.join(asking.select("node").distinct(), "node", "left_semi")
+    found = search(graph, queries, size)
+    pairs = found.select("node", F.explode(F.array_union(F.slice("ids", 1, EXACT), F.array("node"))).alias("other")).distinct()
     # Exact scores: each pair meets both original vectors.
     left = pairs.join(classes.select("node", F.col("v").alias("a")), "node")
     both = left.join(classes.select(F.col("node").alias("other"), F.col("v").alias("b")), "other").select("node", "other", "a", "b")
