@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from docflow.llm.common import WORD, stored, where_settled
 
-CAP, PASSES, BINS, SEED = 3, 3, 4096, 42
+CAP, PASSES, BINS, SEED = 3, 4, 4096, 42
 WEIGHTS = (1, 2, 3)
 #: Sources up to this number (some 200 bytes each) are broadcast; more are joined by shuffle.
 BROADCAST_SOURCES = 20_000
@@ -68,9 +68,8 @@ def _ranked(df: DataFrame, plan: DataFrame, n: int) -> DataFrame:
 
 
 def _fits(k: int) -> Column:
-    """Whether a ranked row can be taken in pass k: after the earlier marks, and no larger than the gap."""
-    fits = (F.col("f") > 0) & (F.col("size") <= F.col(f"gap{k}"))
-    return fits & (F.col("q") > F.col(f"mark{k - 1}")) if k else fits
+    """Whether pass k looks at a ranked row: the first at all, the others at those after the last mark that the gap holds."""
+    return (F.col("f") > 0) & (F.col("size") <= F.col(f"gap{k}")) & (F.col("q") > F.col(f"mark{k - 1}")) if k else F.col("f") > 0
 
 
 def make_plan(rows: DataFrame) -> DataFrame:
@@ -152,7 +151,7 @@ p0 as (select *, floor(share) as whole, share - floor(share) as f, target - floo
 x0 as (select d.*, source_size, target, whole, f, gap as gap0, -1.0::double as mark, false as picked, case when f > 0 then ({q}) / (1 + {q}) else 1.0 end as q from d join p0 on d.source is not distinct from p0.source),
 """
     for k in range(PASSES):
-        fits = f"(f > 0 and size <= gap{k} and q > mark)"
+        fits = f"(f > 0 and size <= gap{k} and q > mark)" if k else "(f > 0)"
         sql += f"""c{k} as (select *, sum(words) over (partition by source order by q) as upto from
     (select source, q, gap{k} as gap, sum(size) as words from x{k} where {fits} group by all)),
 m{k} as (select source, coalesce(min(q) filter (where upto > gap), 2.0) as nm, coalesce(arg_min(words, q) filter (where upto > gap), 0) as grp,
