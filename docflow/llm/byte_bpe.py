@@ -145,7 +145,7 @@ def encode(df: DataFrame, path: str | None = None, pattern: str | None = None, t
             ids = pa.array(bpe.encode_batch(b.column(0).to_pylist()), pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([*b.columns[1:], ids], names=[*carry, "token_ids"])
 
-    return names.mapInArrow(work, _schema(names, carry) + ", token_ids array<int>")
+    return names.mapInArrow(work, _schema(names) + "token_ids array<int>")
 
 
 def decode(df: DataFrame, path: str | None = None, ids_col: str = "token_ids", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -159,7 +159,7 @@ def decode(df: DataFrame, path: str | None = None, ids_col: str = "token_ids", c
             out = pa.array([bpe.decode(x or ()) for x in b.column(0).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([*b.columns[1:], out], names=[*carry, "decoded"])
 
-    return names.mapInArrow(work, _schema(names, carry) + ", decoded binary")
+    return names.mapInArrow(work, _schema(names) + "decoded binary")
 
 
 def digests(df: DataFrame, path: str | None = None, pattern: str | None = None, text_col: str = "text", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -177,7 +177,7 @@ def digests(df: DataFrame, path: str | None = None, pattern: str | None = None,
                 text_sha.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
             yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())], names=[*carry, "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return names.mapInArrow(work, _schema(names, carry) + ", n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return names.mapInArrow(work, _schema(names) + "n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def _defaults(path: str | None, pattern: str | None) -> tuple[str, str]:
@@ -189,5 +189,5 @@ def _carried(df: DataFrame, first: str, carry: tuple[str, ...]) -> DataFrame:
     return df.select(F.col(f"`{first}`").alias("_first"), *(F.col(f"`{c}`") for c in carry))
 
 
-def _schema(df: DataFrame, carry: tuple[str, ...]) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields[1:]) if carry else ""
+def _schema(df: DataFrame) -> str:
+    return "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in df.schema.fields[1:])
