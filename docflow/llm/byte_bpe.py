@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Entries of a worker's memory of encoded pre-tokens; it starts anew when full.
-CACHE = 200_000
+CACHE = 400_000
 #: Pre-tokens longer than this are encoded but not remembered.
 CACHE_CHARS = 64
 
@@ -83,6 +83,7 @@ class ByteBpe:
         self.model = sentencepiece.SentencePieceProcessor(model_proto=serialise(self.ranks))
         self.table = {b: c for b, c in enumerate(byte_chars())}
         self.known: dict[str, list[int]] = {}
+        self.written: dict[str, tuple[str, bytes]] = {}
 
     def _encode_new(self, new: list[str]) -> list[list[int]]:
         raw = [t.encode() for t in new]
@@ -90,28 +91,41 @@ class ByteBpe:
         # A vocabulary entry is one token even where merges would not lead to it.
         return [[self.ranks[r]] if r in self.ranks else [self.order[i - 1] for i in p] for r, p in zip(raw, pieces, strict=True)]
 
+    def _learn(self, tokens: list[str], known: dict, make) -> tuple[dict, dict]:
+        """Sees to it that every pre-token is in ``known`` or, if it is long, in the second result."""
+        if len(known) > CACHE:
+            known.clear()
+        new, far = list(set(tokens).difference(known)), {}
+        for at in range(0, len(new), 4096):
+            part = new[at : at + 4096]
+            for t, ids in zip(part, self._encode_new(part), strict=True):
+                (known if len(t) <= CACHE_CHARS else far)[t] = make(ids)
+        return known, {**known, **far} if far else known
+
     def encode_batch(self, texts: Iterable[str | None]) -> Iterator[list[int]]:
         """The ids of each text in turn."""
         for text in texts:
             tokens = self.pre_tokens(text or "")
-            known = self.known
-            if len(known) > CACHE:
-                known = self.known = {}
-            new = list({t for t in tokens if t not in known})
-            far: dict[str, list[int]] = {}
-            for at in range(0, len(new), 4096):
-                part = new[at : at + 4096]
-                for t, ids in zip(part, self._encode_new(part), strict=True):
-                    (known if len(t) <= CACHE_CHARS else far)[t] = ids
+            _, found = self._learn(tokens, self.known, list)
             ids: list[int] = []
-            if far:
-                for t in tokens:
-                    ids += known[t] if t in known else far[t]
-            else:
-                for t in map(known.__getitem__, tokens):
-                    ids += t
+            for t in map(found.__getitem__, tokens):
+                ids += t
             yield ids
 
+    def digest_batch(self, texts: Iterable[str | None]) -> Iterator[tuple[int, str, str]]:
+        """Of each text: tokens, SHA-256 of the decimal ids, SHA-256 of the bytes that the ids decode to.
+
+        What is remembered of a pre-token is the decimal form of its ids and what these decode to.
+        """
+        make = lambda ids: (" ".join(map(str, ids)), self.decode(ids))
+        for text in texts:
+            tokens = self.pre_tokens(text or "")
+            _, found = self._learn(tokens, self.written, make)
+            parts = list(map(found.__getitem__, tokens))
+            line = " ".join([p[0] for p in parts])
+            raw = b"".join([p[1] for p in parts])
+            yield line.count(" ") + 1 if line else 0, hashlib.sha256(line.encode()).hexdigest(), hashlib.sha256(raw).hexdigest()
+
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
@@ -170,11 +184,7 @@ def digests(df: DataFrame, path: str | None = None, pattern: str | None = None,
     def work(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _loaded(path, pattern)
         for b in _batches(rows):
-            n, ids_sha, text_sha = [], [], []
-            for ids in bpe.encode_batch(b.column(0).to_pylist()):
-                n.append(len(ids))
-                ids_sha.append(hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
-                text_sha.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
+            n, ids_sha, text_sha = zip(*bpe.digest_batch(b.column(0).to_pylist()), strict=True)
             yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())], names=[*carry, "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return names.mapInArrow(work, _schema(names) + "n_tokens long, ids_sha256 string, decoded_sha256 string")
