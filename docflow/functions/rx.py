@@ -41,16 +41,23 @@ def replace_in_order(text: Column, pairs: Iterable[tuple[str, str]]) -> Column:
     return F.aggregate(table, text, lambda t, p: F.replace(t, p["a"], p["b"]))
 
 
+def _total(parts: list[Column]) -> Column:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out + p
+    return out.cast("long")
+
+
 def occurrences(text: Column, terms: Iterable[str]) -> Column:
     """Non-overlapping occurrences summed over terms; terms that contain one another each count."""
-    table = F.array(*map(F.lit, terms))
-    return F.aggregate(table, F.lit(0).cast("long"), lambda n, t: n + F.floor((F.length(text) - F.length(F.replace(text, t, F.lit("")))) / F.length(t)).cast("long"))
+    lost = lambda t: F.when(F.contains(text, F.lit(t)), F.floor((F.length(text) - F.length(F.replace(text, F.lit(t), F.lit("")))) / len(t))).otherwise(0)
+    return F.when(text.isNotNull(), _total([lost(t) for t in terms]))
 
 
 def present(text: Column, terms: Iterable[str]) -> Column:
-    """How many of the terms occur, whatever the case."""
-    table = F.array(*(F.lit(t.lower()) for t in terms))
-    return F.size(F.filter(table, lambda t: F.contains(F.lower(text), t))).cast("long")
+    """How many of the terms occur, whatever the case. One flat sum, so generated code lowers the text once."""
+    low = F.lower(text)
+    return _total([F.contains(low, F.lit(t.lower())).cast("int") for t in terms])
 
 
 def clamp(value: Column, low: float, high: float) -> Column:
