@@ -68,5 +68,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_quality_rules": quality_rules.ORACLE,
+        "op3_warc": warc.ORACLE,
         "op6_pareto_mix": pareto_mix.ORACLE,
+        "op10_pii": pii.ORACLE,
     }

@@ -234,3 +234,20 @@ def query(df: DataFrame) -> DataFrame:
     index = write_archives(df, first)
     archives = deduplicate(spark, index, second)
     return resolve(stored(read_archives(archives, second), "warc-read")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def _oracle() -> str:
+    letters = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'"
+    v = "('0x' || substr(x, (i * 5 + 1)::bigint, 5))::bigint"
+    four = " || ".join(f"substr({letters}, (({v} >> {s}) & 31) + 1, 1)" for s in (15, 10, 5, 0))
+    return f"""
+with p as (select page_id, coalesce(html, '') as h from pages),
+d as (select page_id, strlen(h)::bigint as payload_bytes, sha1(h) as x from p),
+o as (select *, min(page_id) over (partition by x, payload_bytes) as first from d where payload_bytes >= {LEAST_BYTES})
+select page_id, payload_bytes, array_to_string(list_transform(range(8), lambda i: {four}), '') as payload_digest,
+  case when page_id = first then 'response' else 'revisit' end as record_type, case when page_id <> first then first end as refers_to from o
+"""
+
+
+#: DuckDB SQL for ``query(pages)``.
+ORACLE = _oracle()

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import duckdb
 from pyspark.sql import functions as F
 
 from docflow.llm import pareto_mix, pii, queries
@@ -118,6 +119,23 @@ def test_disclosing_words(spark):
     assert told[0] == "number 0 of the reports was sent by  from [EMAIL] to the office"  # it tells all, so it goes
 
 
+def test_disclosing_words_equal_sql(spark):
+    rng = random.Random(4)
+    names = ["Zarquon", "Ömer", "Trillian", "the", "office"]
+    rows = [(i, " ".join(rng.choice((*names, "of", "and", "p@q.org", "x@y.net", "10.0.0.1", "p@q.org,", "4111111111111111")) for _ in range(rng.randrange(30)))) for i in range(150)]
+    rows += [(200 + i, rng.choice(("plain words of the office", "and then", "", None))) for i in range(400)] + [(5, rows[5][1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    con = duckdb.connect()
+    con.execute("create table documents (doc_id bigint, text varchar)")
+    con.executemany("insert into documents values (?, ?)", rows)
+    same(pii.query(df), con, pii.ORACLE)
+    assert pii.query(df).where("n_term > 0").count() > 20
+
+
+def test_query_equals_sql(spark, sf):
+    same(queries.op10_pii(spark, sf), connect(sf), pii.ORACLE)
+
+
 def test_only_native_operators(spark, sf):
     for q in (queries.op10_pii, queries.op1_quality_rules):
         plan = q(spark, sf)._jdf.queryExecution().executedPlan().toString()

@@ -12,6 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from docflow.llm import components, queries, simhash, warc
+from tests.compare import connect, same
 
 
 def expected_records(rows):
@@ -35,6 +36,10 @@ def test_archives(spark, sf):
     assert warc.query(df.limit(0)).count() == 0
 
 
+def test_query_equals_sql(spark, sf):
+    same(queries.op3_warc(spark, sf), connect(sf), warc.ORACLE)
+
+
 def test_small_payloads_are_not_revisited_above_a_bound(spark):
     df = spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abcdef"), (4, "u", "abcdef")], "page_id long, url string, html string")
     first, second = warc.own_dir(spark, "t"), warc.own_dir(spark, "t2")
