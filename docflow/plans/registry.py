@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
-MODULES = ("text_queries", "quality_queries", "structure_queries", "metric_queries")
+MODULES = ("text_queries", "quality_queries", "structure_queries", "document_queries", "metric_queries")
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
