@@ -132,3 +132,36 @@ def hash_embedding(text: str, size: int = 32) -> list[float]:
         h = int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "big")
         out[h % size] += 1.0 if h >> 63 else -1.0
     return out
+
+
+#: What readers of files give: pages as images, tables with their cells, and facts about a file.
+PAGE_IMAGES = "page int, width int, height int, image binary"
+TABLES = "page int, seq int, engine string, confidence double, cells array<array<string>>"
+FILE_INFO = "pages int, title string, has_text boolean, size long"
+
+
+def per_file(files: DataFrame, make: Callable[[], Callable[[bytes], list[tuple]]], schema: str) -> DataFrame:
+    """(path, …schema, error): the rows that a reader gives for each file (path, content); a file it fails on is one row with the error.
+
+    Page renderers, table extractors, PDF writers and file inspectors are such readers.
+    """
+    names = [c.strip().split(" ")[0] for c in schema.split(",") if " " in c.strip()]
+
+    def work(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        read = make()
+        for part in parts:
+            for path, content in zip(part["path"], part["content"], strict=True):
+                try:
+                    rows = [(path, *r, None) for r in read(bytes(content))]
+                except Exception as e:  # noqa: BLE001  a file that can't be read is a row with a reason
+                    rows = [(path, *[None] * len(names), f"{type(e).__name__}: {e}")]
+                yield pd.DataFrame(rows, columns=["path", *names, "error"]).astype(object)
+
+    return files.select("path", "content").mapInPandas(work, f"path string, {schema}, error string")
+
+
+def with_retry(files: DataFrame, make: Callable[[], Callable[[bytes], list[tuple]]], plainer: Callable[[], Callable[[bytes], list[tuple]]], schema: str) -> DataFrame:
+    """Like ``per_file``; files that fail go to a plainer reader once."""
+    first = per_file(files, make, schema).persist()
+    again = files.join(first.where("error is not null").select("path").distinct(), "path", "left_semi")
+    return first.where("error is null").unionByName(per_file(again, plainer, schema))

@@ -64,3 +64,15 @@ def cached_answers(prompts: DataFrame, model, ttl_ms: int = 900_000) -> DataFram
 def write_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "append"):
     """Runs the stream over what there is and ends."""
     return stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True).start()
+
+
+def to_sinks(stream: DataFrame, checkpoint: str, *sinks) -> object:
+    """Hands every micro-batch (DataFrame, id) to each sink in turn, such as a metrics table or a notifier, and ends with the input."""
+
+    def each(batch: DataFrame, number: int) -> None:
+        batch.persist()
+        for sink in sinks:
+            sink(batch, number)
+        batch.unpersist()
+
+    return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -114,3 +114,28 @@ def test_library_does_not_import_the_other_subpackage():
 def test_metric_names(spark):
     df = spark.createDataFrame([("pdf_converter_x",), ("task.a.processing_time",)], "n string")
     assert [r.x for r in df.select(metrics.relabelled(F.col("n")).alias("x")).collect()] == ["pdfconv_x", "task.a.processing_time"]
+
+
+def test_readers_of_files_and_retry(spark):
+    df = spark.createDataFrame([("p1", bytearray(b"ab")), ("p2", bytearray(b"!"))], "path string, content binary")
+
+    def rich():
+        def read(content):
+            if content == b"!":
+                raise ValueError("TableData")
+            return [(i, len(content), None, bytes([b])) for i, b in enumerate(content)]
+
+        return read
+
+    rows = adapters.with_retry(df, rich, lambda: lambda content: [(0, 1, 1, b"")], adapters.PAGE_IMAGES).collect()
+    assert sorted((r.path, r.page, r.width) for r in rows) == [("p1", 0, 2), ("p1", 1, 2), ("p2", 0, 1)]
+    assert adapters.per_file(df, rich, adapters.PAGE_IMAGES).where("error like '%TableData%'").count() == 1
+
+
+def test_sinks_get_every_batch(spark, sf, tmp_path):
+    src, seen = str(tmp_path / "in"), []
+    spark.read.parquet(f"{sf}/events.parquet").repartition(2).write.parquet(src)
+    table = str(tmp_path / "out")
+    q = live.to_sinks(live.read_events(spark, src), str(tmp_path / "cp"), lambda b, n: b.write.mode("append").parquet(table), lambda b, n: seen.append(b.count()))
+    q.awaitTermination(120)
+    assert sum(seen) == spark.read.parquet(table).count() == spark.read.parquet(src).count()
