@@ -7,6 +7,8 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
+from docflow.runtime import shipped
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -17,7 +19,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     """Registers a function under its name, with its oracle."""
 
     def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
+        QUERIES[f.__name__] = shipped(f)
         if sql:
             ORACLES[f.__name__] = sql
         return f
