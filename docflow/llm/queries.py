@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from docflow.llm import byte_bpe, html_crf, nn_descent, pareto_mix, pii, pu_quality, quality_rules, simhash, toxic_segments, warc
 from docflow.llm.common import table
+from docflow.runtime import shipped
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,7 +52,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    found = {
         "op1_quality_rules": op1_quality_rules,
         "op2_byte_bpe": op2_byte_bpe,
         "op3_warc": op3_warc,
@@ -63,6 +64,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_toxic_segments": op9_toxic_segments,
         "op10_pii": op10_pii,
     }
+    return {name: shipped(f) for name, f in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:
