@@ -31,9 +31,20 @@ MD = " || ".join(
 )
 
 
+#: Input bytes that keep one core busy; smaller tables than this times the cores are dealt out anew.
+CORE_BYTES = 32 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores if it is a small table in few row groups; large tables have splits enough and are not shuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores) if (1 << 20) < size < CORE_BYTES * cores else df
+
+
 def md_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, md)."""
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr("doc_id", f"{MD} AS md")
+    return spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")).selectExpr("doc_id", f"{MD} AS md")
 
 
 #: The same as a DuckDB common table expression.
