@@ -26,8 +26,8 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Entries of a worker's memory of encoded pre-tokens; it starts anew when full.
-CACHE = 400_000
+#: Entries of a task's memory of encoded pre-tokens; it starts anew when full and is gone when the task ends.
+CACHE = 200_000
 #: Pre-tokens longer than this are encoded but not remembered.
 CACHE_CHARS = 64
 
@@ -158,6 +158,7 @@ def encode(df: DataFrame, path: str | None = None, pattern: str | None = None, t
         for b in _batches(rows):
             ids = pa.array(bpe.encode_batch(b.column(0).to_pylist()), pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([*b.columns[1:], ids], names=[*carry, "token_ids"])
+        bpe.known.clear()
 
     return names.mapInArrow(work, _schema(names) + "token_ids array<int>")
 
@@ -186,6 +187,7 @@ def digests(df: DataFrame, path: str | None = None, pattern: str | None = None,
         for b in _batches(rows):
             n, ids_sha, text_sha = zip(*bpe.digest_batch(b.column(0).to_pylist()), strict=True)
             yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())], names=[*carry, "n_tokens", "ids_sha256", "decoded_sha256"])
+        bpe.written.clear()
 
     return names.mapInArrow(work, _schema(names) + "n_tokens long, ids_sha256 string, decoded_sha256 string")
 
