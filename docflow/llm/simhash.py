@@ -164,6 +164,11 @@ def near_duplicates(df: DataFrame, text_col: str = "text", id_col: str = "doc_id
 def drop_near_duplicates(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", radius: int = RADIUS) -> DataFrame:
     """The rows of ``df``, one of each component: that with the smallest id; of rows that share it, one with the least text hash."""
     prints, classes = _classified(df, text_col, id_col, radius)
+    return keep_one(df, prints, classes, text_col, id_col)
+
+
+def keep_one(df: DataFrame, prints: DataFrame, classes: DataFrame, text_col: str, id_col: str) -> DataFrame:
+    """The rows of ``df``, one of each root: ``prints`` has (id, h, fp) of every row, ``classes`` the root of each fp."""
     least = F.min(F.struct(F.col("id").isNull().alias("no"), "id", "h"))
     winners = prints.join(classes.hint("merge"), "fp").groupBy("root").agg(least.alias("w")).select(F.col("w.id").alias("id"), F.col("w.h").alias("h")).distinct()
     row = F.struct(*(F.col(f"`{c}`") for c in df.columns))
@@ -177,4 +182,4 @@ def query(df: DataFrame) -> DataFrame:
     return near_duplicates(df).select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-__all__ = ["BLOCK", "cell_masks", "drop_near_duplicates", "fingerprint", "fingerprints", "forest", "groups_for", "links", "near_duplicates", "query", "unary"]
+__all__ = ["BLOCK", "cell_masks", "drop_near_duplicates", "fingerprint", "fingerprints", "forest", "groups_for", "keep_one", "links", "near_duplicates", "query", "unary"]
