@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 from docflow.llm.common import stored
 
 DEGREE, TREES, LEAF, ROUNDS = 32, 12, 2048, 2
-KEEP, LINKS, BEAM, WIDTH, STEPS, EXACT = 16, 24, 256, 128, 4, 64
+#: Partners kept in a group: as many as a list holds, so more than the ``k`` to return; fewer close small clusters off.
+KEEP, LINKS, BEAM, WIDTH, STEPS, EXACT = DEGREE, 24, 256, 128, 4, 64
 SAMPLE, BLOCK, SEED = 20_000, 4096, 11
 
 
