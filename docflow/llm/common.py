@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["WORD", "WORD_BREAK", "StorageLevel", "let", "shared_dir", "stored", "table", "where_settled", "words_of"]
+__all__ = ["WORD", "WORD_BREAK", "StorageLevel", "forget", "let", "shared_dir", "stored", "table", "where_settled", "words_of"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +53,13 @@ def stored(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(at)
 
 
+def forget(df: DataFrame | None) -> None:
+    """Removes what ``stored`` wrote for a frame that nothing reads any more."""
+    for at in {f.rsplit("/", 1)[0] for f in df.inputFiles()} if df is not None else ():
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(at)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with value evaluated once for each row, wherever the optimizer moves the expression."""
     return F.element_at(F.transform(F.array(value), body), 1)

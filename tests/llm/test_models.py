@@ -145,8 +145,7 @@ def check_neighbours(rows, vectors, step=20, k=20):
     return float(np.mean(recall)) if recall else 1.0
 
 
-def test_neighbours_through_the_graph(spark, monkeypatch):
-    monkeypatch.setattr(nn_descent, "LEAF", 256)
+def test_neighbours_through_the_graph(spark):
     df = spark.read.parquet(f"{SF}/embeddings.parquet")
     rows = nn_descent.query(df).collect()
     assert check_neighbours(rows, {r.vec_id: r.embedding for r in df.collect()}) >= 0.9
