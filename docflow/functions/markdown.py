@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from docflow.functions import lexicon
-from docflow.functions.rx import CJK, FENCE, ML, count, lines, map_lines, occurrences, replace_in_order, rstrip, strip
+from docflow.functions.rx import CJK, FENCE, ML, count, let, lines, map_lines, occurrences, replace_in_order, rstrip, strip
 
 # Counts
 
@@ -134,34 +134,55 @@ def is_table_row(line: Column) -> Column:
     return F.contains(line, F.lit("|")) & (_cells(line) >= 2)
 
 
+def _runs(all_lines: Column, starts: Column, body) -> Column:
+    """``body(lines, last)`` of each run of lines: one begins at line 0 and at each of the sorted ``starts`` above 0."""
+    n = F.size(all_lines)
+    begins = F.concat(F.array(F.lit(0)), F.filter(starts, lambda i: i > 0))
+    ends = F.concat(F.filter(starts, lambda i: i > 0), F.array(n))
+    return F.zip_with(begins, ends, lambda a, b: body(F.slice(all_lines, a + 1, b - a), b == n))
+
+
+def _where(all_lines: Column, test) -> Column:
+    """The indices of the lines that pass."""
+    return F.filter(F.transform(all_lines, lambda x, i: F.when(test(x), i)), lambda i: i.isNotNull())
+
+
 def add_separators(text: Column) -> Column:
-    """A separator after the first row of each table that has none; only a blank line ends a table, the last line gets none."""
-    rows = lines(text)
+    """A separator after the first row of each table that has none; only a blank line ends a table, the last line gets none.
+
+    Runs of lines end with their blank line, so the first row of a run is where a table starts.
+    """
+
+    def run(part: Column, last: Column) -> Column:
+        def split_at(row: Column) -> Column:
+            line, following = F.get(part, row - 1), F.get(part, row)
+            add = (row > 0) & F.when(row < F.size(part), ~following.rlike(r"^\|[\s\-:|]+\|")).otherwise(~last)
+            mark = F.concat(F.lit("|"), F.repeat(F.lit(" --- |"), _cells(line)))
+            return F.when(add, F.concat(F.slice(part, F.lit(1), row), F.array(mark), F.slice(part, row + 1, F.size(part)))).otherwise(part)
 
-    def step(a: Column, i: Column) -> Column:
-        line = F.get(a["all"], i)
-        following = F.get(a["all"], i + 1)
-        row = is_table_row(line)
-        add = row & ~a["inside"] & following.isNotNull() & ~following.rlike(r"^\|[\s\-:|]+\|")
-        mark = F.concat(F.lit("|"), F.repeat(F.lit(" --- |"), _cells(line)))
-        out = F.concat(a["out"], F.array(line), F.when(add, F.array(mark)).otherwise(F.array().cast("array<string>")))
-        return F.struct(a["all"].alias("all"), F.when(row, True).when(strip(line) == "", False).otherwise(a["inside"]).alias("inside"), out.alias("out"))
+        return let(F.array_position(F.transform(part, is_table_row), F.lit(True)).cast("int"), split_at)
 
-    zero = F.struct(rows.alias("all"), F.lit(False).alias("inside"), F.array().cast("array<string>").alias("out"))
-    return F.aggregate(F.sequence(F.lit(0), F.size(rows) - 1), zero, step, lambda a: F.array_join(a["out"], "\n"))
+    def runs(all_lines: Column) -> Column:
+        after_blank = F.filter(F.transform(_where(all_lines, lambda x: strip(x) == ""), lambda i: i + 1), lambda i: i < F.size(all_lines))
+        return F.array_join(F.flatten(let(after_blank, lambda s: _runs(all_lines, s, run))), "\n")
+
+    return let(lines(text), runs)
 
 
 def space_tables(text: Column) -> Column:
-    """A blank line before each table row whose last output line is not blank."""
+    """A blank line before each table row whose last line is not blank."""
 
-    def step(out: Column, line: Column) -> Column:
-        bare = strip(line)
-        row = bare.startswith("|") & (F.length(bare) - F.length(F.replace(bare, F.lit("|"), F.lit(""))) >= 2)
-        last = F.get(out, F.size(out) - 1)
-        blank = F.when(row & last.isNotNull() & (last != ""), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
-        return F.concat(out, blank, F.array(F.when(bare == "", F.lit("")).otherwise(line)))
+    def spaced(each: Column) -> Column:
+        def one(line: Column, before: Column) -> Column:
+            bare = strip(line)
+            row = bare.startswith("|") & (F.length(bare) - F.length(F.replace(bare, F.lit("|"), F.lit(""))) >= 2)
+            kept = F.when(bare == "", F.lit("")).otherwise(line)
+            return F.when(row & before.isNotNull() & (strip(before) != ""), F.concat(F.lit("\n"), kept)).otherwise(kept)
+
+        before = F.concat(F.array(F.lit(None).cast("string")), F.slice(each, F.lit(1), F.size(each) - 1))
+        return F.array_join(F.zip_with(each, before, one), "\n")
 
-    return F.aggregate(lines(text), F.array().cast("array<string>"), step, lambda a: F.array_join(a, "\n"))
+    return let(lines(text), spaced)
 
 
 def render_table(rows: Column) -> Column:
@@ -220,23 +241,20 @@ def to_plain(text: Column) -> Column:
 
 def sections(text: Column) -> Column:
     """Sections by heading lines: array of (id, title, level, page, content). Text before the first heading is a section."""
-    kind = "array<struct<title:string,level:int,lines:array<string>>>"
-    body = F.when(text == "", F.array().cast("array<string>")).otherwise(lines(F.regexp_replace(text, r"\n\z", "")))
-
-    def step(a: Column, line: Column) -> Column:
-        bare = strip(line)
-        marks = F.length(bare) - F.length(F.regexp_replace(bare, "^#+", ""))
-        named = strip(F.regexp_replace(bare, "^#+", ""))
-        n = F.size(a)
-        auto = F.concat(F.lit("Section "), (n + 1).cast("string"))
-        opened = F.struct(F.when(named != "", named).otherwise(auto).alias("title"), F.least(marks, F.lit(6)).cast("int").alias("level"), F.array().cast("array<string>").alias("lines"))
-        first = F.struct(F.lit("Section 1").alias("title"), F.lit(1).alias("level"), F.array(line).alias("lines"))
-        last = F.get(a, n - 1)
-        grown = F.concat(F.slice(a, F.lit(1), F.greatest(n - 1, F.lit(0))), F.array(F.struct(last["title"].alias("title"), last["level"].alias("level"), F.concat(last["lines"], F.array(line)).alias("lines"))))
-        return F.when(bare.startswith("#"), F.concat(a, F.array(opened)).cast(kind)).when(n == 0, F.array(first).cast(kind)).otherwise(grown.cast(kind))
-
-    found = F.aggregate(body, F.array().cast(kind), step)
-    return F.transform(found, lambda s, i: F.struct(i.cast("int").alias("id"), s["title"].alias("title"), s["level"].alias("level"), F.lit(1).alias("page"), strip(F.array_join(s["lines"], "\n")).alias("content")))
+    kind = "array<struct<id:int,title:string,level:int,page:int,content:string>>"
+
+    def named(run: Column, last: Column) -> Column:
+        first = strip(F.get(run, F.lit(0)))
+        heading = first.startswith("#")
+        title = F.when(heading, strip(F.regexp_replace(first, "^#+", ""))).otherwise("")
+        level = F.when(heading, F.least(F.length(first) - F.length(F.regexp_replace(first, "^#+", "")), F.lit(6))).otherwise(1)
+        body = F.when(heading, F.slice(run, F.lit(2), F.size(run))).otherwise(run)
+        return F.struct(title.alias("title"), level.cast("int").alias("level"), strip(F.array_join(body, "\n")).alias("content"))
+
+    found = let(lines(F.regexp_replace(text, r"\n\z", "")), lambda all_lines: let(_where(all_lines, lambda x: strip(x).startswith("#")), lambda s: _runs(all_lines, s, named)))
+    auto = lambda s, i: F.when(s["title"] != "", s["title"]).otherwise(F.concat(F.lit("Section "), (i + 1).cast("string")))
+    numbered = F.transform(found, lambda s, i: F.struct(i.cast("int").alias("id"), auto(s, i).alias("title"), s["level"].alias("level"), F.lit(1).alias("page"), s["content"].alias("content")))
+    return F.when(text == "", F.array().cast(kind)).otherwise(numbered.cast(kind))
 
 
 def build_markdown(found: Column) -> Column:

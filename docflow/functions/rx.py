@@ -60,5 +60,39 @@ def present(text: Column, terms: Iterable[str]) -> Column:
     return _total([F.contains(low, F.lit(t.lower())).cast("int") for t in terms])
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with value evaluated once for each row, wherever the optimizer moves the expression."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+#: Items that an inner fold takes.
+PART = 256
+
+
+def emitted(items: Column, state: dict[str, Column], kind: str, step) -> Column:
+    """The elements that a fold over ``items`` emits, as ``array<kind>``.
+
+    ``step(state, item)`` gives the new state, as a dict with the same keys, and an array of what it emits. Every step copies
+    the state, so what is emitted must not stay in it: an inner fold takes ``PART`` items and an outer one the inner ones'
+    results. Keep the state small; what all steps read comes in by ``let``.
+    """
+    none = F.array().cast(f"array<{kind}>")
+
+    def advance(a: Column, x: Column) -> Column:
+        new, out = step(a, x)
+        return F.struct(*(new[k].alias(k) for k in state), F.concat(a["_out"], out.cast(f"array<{kind}>")).alias("_out"))
+
+    def part(a: Column, block: Column) -> Column:
+        inner = F.aggregate(block, F.struct(*(a[k].alias(k) for k in state), none.alias("_out")), advance)
+        return let(inner, lambda v: F.struct(*(v[k].alias(k) for k in state), F.concat(a["_all"], F.array(v["_out"])).alias("_all")))
+
+    def blocks(every: Column) -> Column:
+        starts = F.when(F.size(every) > 0, F.sequence(F.lit(1), F.size(every), F.lit(PART))).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.slice(every, i, F.lit(PART)))
+
+    zero = F.struct(*(v.alias(k) for k, v in state.items()), F.array().cast(f"array<array<{kind}>>").alias("_all"))
+    return F.aggregate(let(items, blocks), zero, part, lambda a: F.flatten(a["_all"]))
+
+
 def clamp(value: Column, low: float, high: float) -> Column:
     return F.least(F.greatest(value, F.lit(low)), F.lit(high))

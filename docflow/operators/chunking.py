@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from docflow.functions import markdown
-from docflow.functions.rx import lines, strip
+from docflow.functions.rx import emitted, let, lines, strip
 
 LONGEST, OVERLAP, SHORTEST = 6000, 500, 1000
 MARK = "\x01"
@@ -57,36 +57,43 @@ def without_overlap(before: Column, after: Column, overlap: int = OVERLAP) -> Co
 
 
 def merge_chunks(chunks: Column, overlap: int = OVERLAP) -> Column:
-    """Pieces joined, overlaps cut, with a blank line where neither side has one."""
+    """Pieces joined, overlaps cut, with a blank line where neither side has one.
 
-    def step(text: Column, chunk: Column) -> Column:
-        rest = without_overlap(text, chunk, overlap)
-        gap = F.when(text.endswith("\n\n") | rest.startswith("\n"), "").otherwise("\n\n")
-        return F.concat(text, gap, rest)
+    What is cut from a piece depends on the last ``overlap`` characters so far, so only these are carried along.
+    """
+
+    def step(a: Column, chunk: Column) -> tuple[dict[str, Column], Column]:
+        rest = without_overlap(a["tail"], chunk, overlap)
+        gap = F.when(a["tail"].endswith("\n\n") | rest.startswith("\n"), "").otherwise("\n\n")
+        piece = F.concat(F.when(a["first"], F.lit("")).otherwise(gap), F.when(a["first"], chunk).otherwise(rest))
+        return {"tail": F.right(F.concat(a["tail"], piece), F.lit(max(overlap, 2))), "first": F.lit(False)}, F.array(piece)
 
-    many = F.aggregate(F.slice(chunks, F.lit(2), F.greatest(F.size(chunks) - 1, F.lit(0))), F.get(chunks, F.lit(0)), step, strip)
+    many = strip(F.array_join(emitted(chunks, {"tail": F.lit(""), "first": F.lit(True)}, "string", step), ""))
     return F.when(F.size(chunks) == 0, "").when(F.size(chunks) == 1, F.get(chunks, F.lit(0))).otherwise(many)
 
 
-def batch_plan(text: Column, compat: bool = True) -> Column:
+def batch_plan(text: Column, compat: bool = True, blanks: bool = False) -> Column:
     """Batches of a document's lines: array of (first, lines).
 
     A batch is sized by its first line's kind and leaves blank lines out; ``compat`` moves on by the number of lines taken, so
-    after an interior blank line the last ones come again; otherwise by the lines covered.
+    after an interior blank line the last ones come again; otherwise by the lines covered. With ``blanks``, a blank line that is
+    reached comes as a batch of its own.
     """
-    kind = "array<struct<first:int,lines:array<string>>>"
+    kind = "struct<first:int,lines:array<string>>"
     normal = F.regexp_replace(text, "\r\n?", "\n")
     rows = F.transform(lines(normal), lambda x: F.struct(x.alias("line"), markdown.batch_size(markdown.complexity(x)).alias("n")))
 
-    def step(a: Column, i: Column) -> Column:
-        here = F.get(a["rows"], i)
-        taken = F.transform(F.filter(F.slice(a["rows"], i + 1, here["n"]), lambda r: strip(r["line"]) != ""), lambda r: r["line"])
-        blank = strip(here["line"]) == ""
-        go = i >= a["next"]
-        moved = F.when(blank, 1).otherwise(F.size(taken) if compat else here["n"])
-        batch = F.array(F.struct(i.cast("int").alias("first"), taken.alias("lines"))).cast(kind)
-        out = F.when(go & ~blank, F.concat(a["out"], batch)).otherwise(a["out"])
-        return F.struct(a["rows"].alias("rows"), F.when(go, i + moved).otherwise(a["next"]).cast("int").alias("next"), out.alias("out"))
-
-    zero = F.struct(rows.alias("rows"), F.lit(0).alias("next"), F.array().cast(kind).alias("out"))
-    return F.aggregate(F.sequence(F.lit(0), F.size(rows) - 1), zero, step, lambda a: a["out"])
+    def planned(every: Column) -> Column:
+        def step(a: Column, i: Column) -> tuple[dict[str, Column], Column]:
+            here = F.get(every, i)
+            go, blank = i >= a["next"], strip(here["line"]) == ""
+            taken = F.transform(F.filter(F.slice(every, i + 1, here["n"]), lambda r: strip(r["line"]) != ""), lambda r: r["line"])
+            moved = F.when(blank, 1).otherwise(F.size(taken) if compat else here["n"])
+            own = F.when(blank, F.array(here["line"])).otherwise(taken) if blanks else taken
+            batch = F.array(F.struct(i.cast("int").alias("first"), own.alias("lines")))
+            state = {"next": F.when(go, i + moved).otherwise(a["next"]).cast("int")}
+            return state, F.when(go if blanks else go & ~blank, batch).otherwise(F.array().cast(f"array<{kind}>"))
+
+        return emitted(F.sequence(F.lit(0), F.size(every) - 1), {"next": F.lit(0)}, kind, step)
+
+    return let(rows, planned)

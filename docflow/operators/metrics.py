@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docflow.operators.statsd import RULES
+
 #: Fixed upper bounds of the duration buckets, in seconds.
 BUCKETS = (0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1, 2.5, 5, 10)
 
@@ -63,15 +65,15 @@ def last_value(rows: DataFrame, by: Sequence[str], value: str = "seconds") -> Da
     return rows.groupBy(*by).agg(F.max_by(value, F.struct("ts", "event_id")).alias("value"))
 
 
-def mapped_name(name: Column, rules: Sequence[tuple[str, str]]) -> Column:
-    """Struct (metric, labels) by the first glob rule that fits; a star is one part of a dotted name and a label."""
+def mapped_name(name: Column, rules: Sequence[tuple[str, str, Sequence[str]]] = RULES) -> Column:
+    """Struct (metric, labels) by the first rule that fits; a star is one part of a dotted name and the value of a label."""
     out = None
-    for glob, metric in rules:
+    for glob, metric, stars in rules:
         rx = "^" + glob.replace(".", r"\.").replace("*", "([^.]+)") + "$"
-        labels = F.array(*(F.regexp_extract(name, rx, i + 1) for i in range(glob.count("*"))))
+        labels = F.create_map(*(x for i, s in enumerate(stars) for x in (F.lit(s), F.regexp_extract(name, rx, i + 1)))) if stars else F.create_map().cast("map<string,string>")
         hit = F.struct(F.lit(metric).alias("metric"), labels.alias("labels"))
         out = F.when(name.rlike(rx), hit) if out is None else out.when(name.rlike(rx), hit)
-    return F.coalesce(out, F.struct(F.lit(None).cast("string").alias("metric"), F.array().cast("array<string>").alias("labels")))
+    return F.coalesce(out, F.struct(F.lit(None).cast("string").alias("metric"), F.create_map().cast("map<string,string>").alias("labels")))
 
 
 def relabelled(name: Column) -> Column:

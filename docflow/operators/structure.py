@@ -50,14 +50,14 @@ def not_captured(texts: DataFrame, captured: DataFrame) -> DataFrame:
 def flatten_tree(spark: SparkSession, nodes: DataFrame) -> DataFrame:
     """Pre-order rows of trees given as (doc_id, node_id, parent_id, pos, title): depth from 1, children, position."""
     children = nodes.groupBy("doc_id", F.col("parent_id").alias("node_id")).agg(F.count(F.lit(1)).alias("child_count"))
-    level, depth = nodes.where("parent_id is null").select("doc_id", "node_id", "title", F.lit(1).alias("level"), F.array("pos").alias("path")), 1
+    level = nodes.where("parent_id is null").select("doc_id", "node_id", "title", F.lit(1).alias("level"), F.array("pos").alias("path"))
     found = level
-    while depth < 64:
+    while True:
         below = nodes.select("doc_id", F.col("node_id").alias("n"), F.col("parent_id").alias("p"), "pos", F.col("title").alias("t"))
         level = level.select("doc_id", F.col("node_id").alias("p"), "level", "path").join(below, ["doc_id", "p"]).select("doc_id", F.col("n").alias("node_id"), F.col("t").alias("title"), (F.col("level") + 1).alias("level"), F.concat("path", F.array("pos")).alias("path"))
         if level.isEmpty():
             break
-        found, depth = found.unionByName(level), depth + 1
+        found = found.unionByName(level)
     out = found.join(children, ["doc_id", "node_id"], "left")
     order = F.expr("row_number() over (partition by doc_id order by path)").cast("long")
     return out.select("doc_id", order.alias("position"), "node_id", "title", "level", F.coalesce("child_count", F.lit(0)).cast("long").alias("child_count"))
@@ -103,6 +103,34 @@ def structural_similarity(original: DataFrame, result: DataFrame) -> DataFrame:
     return both.select("doc_id", F.coalesce(score, F.lit(0.0)).alias("similarity"))
 
 
+#: Dimensions of the word hashes that stand for title vectors; weights of structure and meaning in the overall likeness.
+DIMENSIONS, STRUCTURE, MEANING = 32, 0.7, 0.3
+
+
+def semantic_similarity(original: DataFrame, result: DataFrame) -> DataFrame:
+    """(doc_id, semantic): cosine of the mean vectors of both heading lists, at least 0; 0 where one is empty.
+
+    Words hashed to signed dimensions stand for a sentence model; the cosine of means is that of sums, so sums by document
+    and dimension are all that is shuffled.
+    """
+
+    def sums(d: DataFrame, to: str) -> DataFrame:
+        words = d.select("doc_id", F.explode(F.filter(F.split(F.lower("title"), r"\s+"), lambda w: w != "")).alias("w")).withColumn("h", F.md5(F.col("w").cast("binary")))
+        k = (F.conv(F.substring("h", 1, 2), 16, 10).cast("int") % DIMENSIONS).alias("k")
+        return words.groupBy("doc_id", k).agg(F.sum(F.when(F.substring("h", 3, 1) >= "8", 1).otherwise(-1)).alias(to))
+
+    both = sums(original, "x").join(sums(result, "y"), ["doc_id", "k"], "full").na.fill(0)
+    g = both.groupBy("doc_id").agg(F.sum(F.col("x") * F.col("y")).alias("dot"), F.sum(F.col("x") * F.col("x")).alias("xx"), F.sum(F.col("y") * F.col("y")).alias("yy"))
+    cosine = F.try_divide(F.col("dot"), F.sqrt("xx") * F.sqrt("yy"))
+    return g.select("doc_id", F.greatest(F.lit(0.0), F.coalesce(cosine, F.lit(0.0))).alias("semantic"))
+
+
+def overall_similarity(original: DataFrame, result: DataFrame) -> DataFrame:
+    """(doc_id, structural, semantic, overall) of two heading lists."""
+    both = structural_similarity(original, result).join(semantic_similarity(original, result), "doc_id", "left").na.fill(0.0)
+    return both.select("doc_id", F.col("similarity").alias("structural"), "semantic", (F.col("similarity") * STRUCTURE + F.col("semantic") * MEANING).alias("overall"))
+
+
 def comparison_issues(matches: DataFrame, counts: DataFrame, threshold: float = 0.9) -> DataFrame:
     """(doc_id, issues) from matches and (doc_id, n1, n2, overall)."""
     m = matches.groupBy("doc_id").agg(

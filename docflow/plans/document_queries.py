@@ -55,7 +55,10 @@ def document_info(spark, sf_dir):
 BODY = "string_agg(repeat('#', least(level + 1, 6)::bigint) || ' ' || title || chr(10) || chr(10) || content || chr(10), chr(10) ORDER BY id)"
 
 
-@query(duck.over_md(f"doc_id, {duck.strip(f'{duck.q(chr(35) + chr(32))} || {duck.q(chr(68))} || doc_id || chr(10) || chr(10) || {duck.q(chr(42) * 2 + chr(65) + 'uthors:' + chr(42) * 2 + ' a, b')} || chr(10) || chr(10) || {BODY} || chr(10) || {duck.q('### Table 1 (page 1)')} || chr(10)')} AS result", SECTIONS, "sections GROUP BY doc_id"))
+EXPORTED = duck.strip("'# D' || doc_id || chr(10) || chr(10) || '**Authors:** a, b' || chr(10) || chr(10) || " + BODY + " || chr(10) || '### Table 1 (page 1)' || chr(10)")
+
+
+@query(duck.over_md(f"doc_id, {EXPORTED} AS result", SECTIONS, "sections GROUP BY doc_id"))
 def export_markdown(spark, sf_dir):
     title = F.concat(F.lit("D"), F.col("doc_id").cast("string"))
     authors, tables = F.array(F.lit("a"), F.lit("b")), F.array(F.struct(F.lit(1).alias("page")))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docflow.operators import metrics
+from docflow.operators.statsd import RULES
 from docflow.plans.registry import query
 
 
@@ -105,16 +106,26 @@ def resource_usage(spark, sf_dir):
     return used.join(limit, ["host", "hour"]).select("host", F.col("hour").cast("timestamp_ntz").alias("hour"), F.round(F.col("used") / F.col("lim") * 100, 6).alias("pct"))
 
 
-NAMES = "CASE event_id % 4 WHEN 0 THEN 'task.' || event_type || '.processing_time' WHEN 1 THEN 'pdf.' || event_type || '.pages' WHEN 2 THEN 'vllm_' || event_type ELSE 'other.x' END"
+NAMES = (
+    "CASE event_id % 9 WHEN 0 THEN 'pdf.pipeline.' || event_type || '.duration' WHEN 1 THEN 'pdf.dag.d' || (user_id % 3) || '.' || event_type || '.duration' "
+    "WHEN 2 THEN 'pdf.dag.d' || (user_id % 3) || '.tasks.active' WHEN 3 THEN 'pdf.dag.d1.errors.' || event_type WHEN 4 THEN 'vllm.requests.' || event_type WHEN 5 THEN 'vllm.requests.' || event_type || '.duration' "
+    "WHEN 6 THEN 'pdf.quality.overall.score' WHEN 7 THEN 'flask.api.' || event_type || '.errors.500' ELSE 'other.x' END"
+)
+
+
+def _rule_sql() -> str:
+    rx = lambda glob: "^" + glob.replace(".", "[.]").replace("*", "([^.]+)") + "$"
+    pick = lambda f: "CASE " + " ".join(f"WHEN regexp_matches(m, '{rx(g)}') THEN {f(g, metric, stars)}" for g, metric, stars in RULES) + " END"
+    label = lambda g, _, stars: " || ',' || ".join(f"'{s}=' || regexp_extract(m, '{rx(g)}', {i + 1})" for i, s in sorted(enumerate(stars), key=lambda x: x[1])) or "''"
+    return f"SELECT metric, labels, count(*)::bigint AS n FROM (SELECT {pick(lambda g, metric, _: repr(metric))} AS metric, coalesce({pick(label)}, '') AS labels FROM (SELECT {NAMES} AS m FROM events)) GROUP BY ALL"
 
 
-@query(f"SELECT metric, stage, count(*)::bigint AS n FROM (SELECT CASE WHEN regexp_matches(m, '^task\\.[^.]+\\.processing_time$') THEN 'task_processing_seconds' WHEN regexp_matches(m, '^pdf\\.[^.]+\\.pages$') THEN 'pdf_pages' WHEN starts_with(m, 'vllm_') THEN 'vllm_metric' END AS metric, nullif(regexp_extract(m, '^(?:task\\.([^.]+)\\.processing_time|pdf\\.([^.]+)\\.pages|vllm_(.*))$', 1) || regexp_extract(m, '^(?:task\\.([^.]+)\\.processing_time|pdf\\.([^.]+)\\.pages|vllm_(.*))$', 2) || regexp_extract(m, '^(?:task\\.([^.]+)\\.processing_time|pdf\\.([^.]+)\\.pages|vllm_(.*))$', 3), '') AS stage FROM (SELECT {NAMES} AS m FROM events)) GROUP BY ALL")
+@query(_rule_sql())
 def statsd_mapping(spark, sf_dir):
     """Dotted names to a metric and labels, first rule first."""
-    rules = (("task.*.processing_time", "task_processing_seconds"), ("pdf.*.pages", "pdf_pages"), ("vllm_*", "vllm_metric"))
-    e = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.expr(NAMES).alias("m"))
-    m = e.select(metrics.mapped_name(F.col("m"), rules).alias("x"))
-    return m.groupBy("x.metric", F.get(F.col("x.labels"), F.lit(0)).alias("stage")).agg(F.count(F.lit(1)).alias("n"))
+    e = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.expr(NAMES).alias("m")).select(metrics.mapped_name(F.col("m")).alias("x"))
+    labels = F.array_join(F.transform(F.array_sort(F.map_entries("x.labels")), lambda p: F.concat(p["key"], F.lit("="), p["value"])), ",")
+    return e.select("x.metric", labels.alias("labels")).groupBy("metric", "labels").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("WITH g AS (SELECT user_id, ts, event_id, CASE WHEN ts - lag(ts) OVER w < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)), s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS sid FROM g) SELECT user_id, min(ts) AS session_start, count(*)::bigint AS n FROM s GROUP BY user_id, sid")

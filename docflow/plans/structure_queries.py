@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docflow.functions import lexicon, markdown
-from docflow.operators import structure
+from docflow.operators import flows, structure
 from docflow.plans import duck
 from docflow.plans.registry import query
 from docflow.plans.text_queries import SECTIONS
@@ -100,19 +100,38 @@ def ast_structural(spark, sf_dir):
     return s.select("doc_id", F.round("similarity", 6).alias("similarity"))
 
 
-@query(f"WITH {MATCHED}, n AS (SELECT doc_id, count(*) AS n1, (SELECT count(*) FROM b WHERE b.doc_id = a.doc_id) AS n2 FROM a GROUP BY doc_id), g AS (SELECT doc_id, count_if(match_type = 'missing') AS missing, count_if(match_type <> 'missing' AND NOT coalesce(hit.l = level, false)) AS levels, count_if(match_type = 'approximate') AS approximate FROM j GROUP BY doc_id) SELECT doc_id, missing::bigint AS missing, levels::bigint AS levels, approximate::bigint AS approximate, array_to_string(list_filter(['low similarity', CASE WHEN missing > 0 THEN 'missing headings' END, CASE WHEN levels > 0 THEN 'levels differ' END, CASE WHEN abs(n1 - n2) > n1 * 0.1 THEN 'counts differ' END, CASE WHEN approximate > n1 * 0.2 THEN 'approximate matches' END], lambda x: x IS NOT NULL), ',') AS issues FROM n JOIN g USING (doc_id)")
+def _hashed(table: str, to: str) -> str:
+    return f"(SELECT doc_id, ('0x' || substr(md5(w), 1, 2))::int % 32 AS k, sum(CASE WHEN substr(md5(w), 3, 1) >= '8' THEN 1 ELSE -1 END)::double AS {to} FROM (SELECT doc_id, unnest(list_filter(string_split_regex(lower(title), '\\s+'), lambda w: w <> '')) AS w FROM {table}) GROUP BY ALL)"
+
+
+OVERALL = f"""o1 AS (SELECT doc_id, list(DISTINCT level) AS l1, list(DISTINCT lower(title)) AS t1, count(*) AS n1 FROM a GROUP BY doc_id),
+o2 AS (SELECT doc_id, list(DISTINCT level) AS l2, list(DISTINCT lower(title)) AS t2, count(*) AS n2 FROM b GROUP BY doc_id),
+st AS (SELECT doc_id, coalesce(len(list_intersect(l1, l2))::double / len(list_distinct(list_concat(l1, l2))) * 0.4 + len(list_intersect(t1, t2))::double / len(list_distinct(list_concat(t1, t2))) * 0.4 + (1 - abs(n1 - n2)::double / greatest(n1, n2)) * 0.2, 0) AS structural FROM o1 FULL JOIN o2 USING (doc_id)),
+me AS (SELECT doc_id, greatest(0, coalesce(sum(coalesce(x, 0) * coalesce(y, 0)) / nullif(sqrt(sum(coalesce(x, 0) * coalesce(x, 0))) * sqrt(sum(coalesce(y, 0) * coalesce(y, 0))), 0), 0)) AS semantic FROM {_hashed('a', 'x')} p FULL JOIN {_hashed('b', 'y')} q USING (doc_id, k) GROUP BY doc_id),
+ov AS (SELECT doc_id, structural, coalesce(semantic, 0) AS semantic, structural * 0.7 + coalesce(semantic, 0) * 0.3 AS overall FROM st LEFT JOIN me USING (doc_id))"""
+
+
+@query(f"WITH a AS ({ORIGINAL}), b AS ({RESULT}), {OVERALL} SELECT doc_id, round(structural, 6)::double AS structural, round(semantic, 6)::double AS semantic, round(overall, 6)::double AS overall FROM ov")
+def ast_overall(spark, sf_dir):
+    """Likeness of heading trees in structure and meaning."""
+    s = structure.overall_similarity(*_sides(spark, sf_dir))
+    return s.select("doc_id", *(F.round(c, 6).alias(c) for c in ("structural", "semantic", "overall")))
+
+
+@query(f"WITH {MATCHED}, {OVERALL}, n AS (SELECT doc_id, count(*) AS n1, (SELECT count(*) FROM b WHERE b.doc_id = a.doc_id) AS n2 FROM a GROUP BY doc_id), g AS (SELECT doc_id, count_if(match_type = 'missing') AS missing, count_if(match_type <> 'missing' AND NOT coalesce(hit.l = level, false)) AS levels, count_if(match_type = 'approximate') AS approximate FROM j GROUP BY doc_id) SELECT doc_id, missing::bigint AS missing, levels::bigint AS levels, approximate::bigint AS approximate, array_to_string(list_filter([CASE WHEN overall < 0.9 THEN 'low similarity' END, CASE WHEN missing > 0 THEN 'missing headings' END, CASE WHEN levels > 0 THEN 'levels differ' END, CASE WHEN abs(n1 - n2) > n1 * 0.1 THEN 'counts differ' END, CASE WHEN approximate > n1 * 0.2 THEN 'approximate matches' END], lambda x: x IS NOT NULL), ',') AS issues FROM n JOIN g USING (doc_id) JOIN ov USING (doc_id)")
 def ast_issues(spark, sf_dir):
     a, b = _sides(spark, sf_dir)
     n = a.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n1")).join(b.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n2")), "doc_id", "left").na.fill(0)
-    out = structure.comparison_issues(structure.match_headings(a, b), n.withColumn("overall", F.lit(0.5)))
+    overall = structure.overall_similarity(a, b).select("doc_id", "overall")
+    out = structure.comparison_issues(structure.match_headings(a, b), n.join(overall, "doc_id"))
     return out.withColumn("issues", F.array_join("issues", ","))
 
 
-@query(duck.over_md("doc_id, array_to_string(list_slice(list(title ORDER BY id) FILTER (WHERE NOT contains(lower(md), 'section ' || id)), 1, 5), '|') AS missing", SECTIONS + ", j AS (SELECT sections.*, md FROM sections JOIN md_docs USING (doc_id))", "j GROUP BY doc_id"))
+@query(duck.over_md("doc_id, array_to_string(list_slice(list(title ORDER BY id) FILTER (WHERE NOT contains(other, title)), 1, 5), '|') AS missing", SECTIONS + ", j AS (SELECT sections.*, replace(md, 'A', '') AS other FROM sections JOIN md_docs USING (doc_id))", "j GROUP BY doc_id"))
 def missing_titles(spark, sf_dir):
-    """The first five sections whose number the text does not mention."""
-    rows = md_docs(spark, sf_dir).select("doc_id", "md", markdown.sections(F.col("md")).alias("s"))
-    lost = F.filter("s", lambda x: ~F.contains(F.lower("md"), F.concat(F.lit("section "), x["id"].cast("string"))))
+    """The first five section titles that another version of the text (here one without the letter A) lacks."""
+    rows = md_docs(spark, sf_dir).select("doc_id", F.replace("md", F.lit("A"), F.lit("")).alias("other"), markdown.sections(F.col("md")).alias("s"))
+    lost = F.filter("s", lambda x: ~F.contains("other", x["title"]))
     titles = F.slice(F.transform(lost, lambda x: x["title"]), 1, 5)
     return rows.select("doc_id", F.when(F.size(titles) > 0, F.array_join(titles, "|")).alias("missing"))
 
@@ -156,6 +175,19 @@ def visual_summary(spark, sf_dir):
     return structure.visual_summary(diffs, ssim).drop("penalty", "ssim").withColumn("similarity", F.round("similarity", 6))
 
 
+VISUAL = f"d AS ({DIFFS}), g AS (SELECT doc_id, count(*) AS n, count_if(severity IN ('high', 'critical')) AS severe, sum(CASE severity WHEN 'low' THEN 0.01 WHEN 'high' THEN 0.1 WHEN 'critical' THEN 0.2 ELSE 0.05 END * confidence) AS pen FROM d GROUP BY doc_id), s AS (SELECT p_partkey % 50 AS doc_id, avg(round(0.9 + p_size / 1000.0, 4)) AS ssim, count(*) AS pages FROM part GROUP BY ALL), v AS (SELECT doc_id, pages, coalesce(n, 0) AS n, coalesce(severe, 0) AS severe, least(1.0, greatest(0.0, ssim - coalesce(pen, 0))) AS likeness FROM s LEFT JOIN g USING (doc_id))"
+
+
+@query(f"WITH {VISUAL} SELECT doc_id, round(likeness, 6)::double AS score, array_to_string(list_filter([CASE WHEN likeness < 0.95 THEN 'low visual likeness' END, CASE WHEN n > greatest(1, round_even(pages * 0.1, 0)) THEN 'too many differences' END, CASE WHEN severe > 0 THEN 'severe differences' END], lambda x: x IS NOT NULL), ',') AS issues FROM v")
+def qa_level2(spark, sf_dir):
+    """The visual level from page differences and likeness."""
+    p = _t(spark, sf_dir, "part")
+    diffs = p.where("p_partkey % 20 < 3").selectExpr("p_partkey % 50 AS doc_id", "CASE p_size % 3 WHEN 0 THEN 'added' WHEN 1 THEN 'removed' ELSE 'changed' END AS type", "CASE p_partkey % 5 WHEN 0 THEN 'low' WHEN 1 THEN 'medium' WHEN 2 THEN 'high' WHEN 3 THEN 'critical' ELSE 'odd' END AS severity", "round(p_size / 500D, 4) AS confidence")
+    pages = p.select((F.col("p_partkey") % 50).alias("doc_id"), F.round(0.9 + F.col("p_size") / 1000, 4).alias("ssim"))
+    level = flows.visual_level(structure.visual_summary(diffs, pages), pages.groupBy("doc_id").agg(F.count(F.lit(1)).alias("pages")))
+    return level.select("doc_id", F.round("score", 6).alias("score"), F.array_join("issues", ",").alias("issues"))
+
+
 # Provided by Spark, here as named queries over the star schema.
 
 

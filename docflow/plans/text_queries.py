@@ -170,7 +170,14 @@ def space_tables(spark, sf_dir):
 IMPROVED = SPACED + r""", b AS (SELECT o.doc_id, CASE WHEN regexp_matches(any_value(md), '(?m)^#\s+(.+)') THEN '' ELSE '# Doc ' || o.doc_id || chr(10) || chr(10) END || string_agg(line, chr(10) ORDER BY pos) AS body FROM o JOIN md_docs USING (doc_id) GROUP BY o.doc_id)"""
 
 
-@query(duck.over_md(f"doc_id, {duck.strip(chr(40) + 'body || ' + ' || '.join(f'CASE WHEN contains(body, {duck.q(t)}) THEN {duck.q(str())} ELSE chr(10) || chr(10) || {duck.q(chr(35) * 2 + chr(32) + t)} || chr(10) END' for t in ('处理器', 'Appendix')) + chr(41))} AS result", IMPROVED, "b"))
+def _added(title: str) -> str:
+    return f"CASE WHEN contains(body, '{title}') THEN '' ELSE chr(10) || chr(10) || '## {title}' || chr(10) END"
+
+
+WITH_TITLES = duck.strip("(body || " + _added("处理器") + " || " + _added("Appendix") + ")")
+
+
+@query(duck.over_md(f"doc_id, {WITH_TITLES} AS result", IMPROVED, "b"))
 def improve_structure(spark, sf_dir):
     titles = F.array(F.lit("处理器"), F.lit("Appendix"))
     return _one(spark, sf_dir, result=markdown.improve_structure(_text(), F.concat(F.lit("Doc "), F.col("doc_id").cast("string")), titles))
@@ -356,7 +363,7 @@ def batch_planner(spark, sf_dir):
     return rows.select("doc_id", "batch", F.col("b.first").alias("first_line"), F.size("b.lines").alias("n"))
 
 
-@query(r"SELECT doc_id, substr(source, 1, 3) = 'src' AND length(text) > 0 AND length(text) <= 524288000 AS valid, md5(text) AS md5, sha256(text) AS sha256, greatest(1, strlen(text) // 102400)::bigint AS pages, regexp_matches(substr(text, 1, 500), '[\x{4e00}-\x{9fff}]') AS has_source_script, CASE WHEN strlen(text) > 52428800 THEN 'high' ELSE 'medium' END AS complexity FROM documents")
+@query(r"SELECT doc_id, substr(source, 1, 3) = 'src' AND length(text) > 0 AND length(text) <= 524288000 AS valid, md5(text) AS md5, sha256(text) AS sha256, greatest(1, strlen(text) // 102400)::bigint AS pages, len(regexp_extract_all(substr(text, 1, 500), '[\x{4e00}-\x{9fff}]')) > 5 AS has_source_script, len(regexp_extract_all(substr(text, 1, 500), '[\x{4e00}-\x{9fff}]')) <= 5 AS recommended_ocr, CASE WHEN strlen(text) > 52428800 THEN 'high' ELSE 'medium' END AS complexity FROM documents")
 def file_profile(spark, sf_dir):
     from docflow.sources.files import profile
 

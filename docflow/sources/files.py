@@ -31,13 +31,15 @@ def profile(df: DataFrame, text_col: str, name_ok: Column) -> DataFrame:
     """What is known of a document before it is read: validity, hashes, pages by size, script, complexity."""
     t = F.col(text_col)
     size = F.octet_length(t)
+    source = F.regexp_count(F.substring(t, 1, 500), F.lit(CJK)) > 5
     return df.select(
         "doc_id",
         (name_ok & (F.length(t) > 0) & (F.length(t) <= LARGEST)).alias("valid"),
         F.md5(t.cast("binary")).alias("md5"),
         F.sha2(t, 256).alias("sha256"),
         F.greatest(F.lit(1), F.floor(size / 102400)).cast("long").alias("pages"),
-        F.substring(t, 1, 500).rlike(CJK).alias("has_source_script"),
+        source.alias("has_source_script"),
+        (~source).alias("recommended_ocr"),
         F.when(size > 50 * 1024 * 1024, "high").otherwise("medium").alias("complexity"),
     )
 
