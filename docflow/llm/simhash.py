@@ -167,6 +167,16 @@ def drop_near_duplicates(df: DataFrame, text_col: str = "text", id_col: str = "d
     return keep_one(df, prints, classes, text_col, id_col)
 
 
+def drop_similar(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", width: int = 5, similarity: float = 0.8) -> DataFrame:
+    """As ``drop_near_duplicates``, with components of texts whose shingle sets have at least this similarity.
+
+    The fingerprints are wide ones, in which no such text is missed; see ``shingle_sets``.
+    """
+    from docflow.llm import shingle_sets
+
+    return shingle_sets.drop_near_copies(df, text_col, id_col, width, similarity)
+
+
 def keep_one(df: DataFrame, prints: DataFrame, classes: DataFrame, text_col: str, id_col: str) -> DataFrame:
     """The rows of ``df``, one of each root: ``prints`` has (id, h, fp) of every row, ``classes`` the root of each fp."""
     least = F.min(F.struct(F.col("id").isNull().alias("no"), "id", "h"))
@@ -182,4 +192,4 @@ def query(df: DataFrame) -> DataFrame:
     return near_duplicates(df).select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-__all__ = ["BLOCK", "cell_masks", "drop_near_duplicates", "fingerprint", "fingerprints", "forest", "groups_for", "keep_one", "links", "near_duplicates", "query", "unary"]
+__all__ = ["BLOCK", "cell_masks", "drop_near_duplicates", "drop_similar", "fingerprint", "fingerprints", "forest", "groups_for", "keep_one", "links", "near_duplicates", "query", "unary"]
