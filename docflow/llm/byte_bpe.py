@@ -45,6 +45,11 @@ def byte_chars() -> list[str]:
     return [chr(b if b not in others else 256 + others.index(b)) for b in range(256)]
 
 
+def inverse_chars() -> dict[str, int]:
+    """The byte that each character of ``byte_chars`` stands for."""
+    return {c: b for b, c in enumerate(byte_chars())}
+
+
 def _varint(n: int) -> bytes:
     out = bytearray()
     while n > 127:
@@ -77,11 +82,13 @@ class ByteBpe:
 
     def __init__(self, path: str, pattern: str):
         self.ranks = read_ranks(path)
-        self.order = [r for _, r in sorted((r, r) for r in self.ranks.values())]
-        self.bytes_of = {r: t for t, r in self.ranks.items()}
+        self.order = sorted(self.ranks.values())
         self.pre_tokens = regex.compile(pattern).findall
         self.model = sentencepiece.SentencePieceProcessor(model_proto=serialise(self.ranks))
         self.table = {b: c for b, c in enumerate(byte_chars())}
+        # Ids turn back through the model's own pieces and the inverse of the byte map.
+        byte = inverse_chars()
+        self.bytes_of = {r: bytes(map(byte.__getitem__, self.model.id_to_piece(i + 1))) for i, r in enumerate(self.order)}
         self.known: dict[str, list[int]] = {}
         self.written: dict[str, tuple[str, bytes]] = {}
 
@@ -89,7 +96,12 @@ class ByteBpe:
         raw = [t.encode() for t in new]
         pieces = self.model.encode([r.decode("latin-1").translate(self.table) for r in raw], out_type=int, num_threads=1)
         # A vocabulary entry is one token even where merges would not lead to it.
-        return [[self.ranks[r]] if r in self.ranks else [self.order[i - 1] for i in p] for r, p in zip(raw, pieces, strict=True)]
+        return [[self.ranks[r]] if r in self.ranks else self._ranks_of(p) for r, p in zip(raw, pieces, strict=True)]
+
+    def _ranks_of(self, pieces: list[int]) -> list[int]:
+        if 0 in pieces:
+            raise ValueError("the vocabulary lacks a byte")
+        return [self.order[i - 1] for i in pieces]
 
     def _learn(self, tokens: list[str], known: dict, make) -> tuple[dict, dict]:
         """Sees to it that every pre-token is in ``known`` or, if it is long, in the second result."""
@@ -131,8 +143,10 @@ class ByteBpe:
 
 
 @lru_cache(maxsize=2)
-def _loaded(path: str, pattern: str) -> ByteBpe:
-    return ByteBpe(path, pattern)
+def _loaded(path: str | None, pattern: str | None) -> ByteBpe:
+    """The encoder; without a path or pattern the worker's own installed vocabulary."""
+    own = default_vocabulary() if path is None or pattern is None else ("", "")
+    return ByteBpe(os.fspath(path or own[0]), pattern or own[1])
 
 
 def default_vocabulary() -> tuple[str, str]:
@@ -150,7 +164,6 @@ def _batches(rows: Iterator[pa.RecordBatch], rows_each: int = 256) -> Iterator[p
 
 def encode(df: DataFrame, path: str | None = None, pattern: str | None = None, text_col: str = "text", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``carry`` and the token ids of each text, as ``token_ids array<int>``."""
-    path, pattern = _defaults(path, pattern)
     names = _carried(df, text_col, carry)
 
     def work(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,11 +178,10 @@ def encode(df: DataFrame, path: str | None = None, pattern: str | None = None, t
 
 def decode(df: DataFrame, path: str | None = None, ids_col: str = "token_ids", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``carry`` and the bytes of each row's ids, as ``decoded binary``; null ids decode to nothing."""
-    path, pattern = _defaults(path, None)
     names = _carried(df, ids_col, carry)
 
     def work(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = _loaded(path, pattern)
+        bpe = _loaded(path, None)
         for b in _batches(rows):
             out = pa.array([bpe.decode(x or ()) for x in b.column(0).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([*b.columns[1:], out], names=[*carry, "decoded"])
@@ -179,7 +191,6 @@ def decode(df: DataFrame, path: str | None = None, ids_col: str = "token_ids", c
 
 def digests(df: DataFrame, path: str | None = None, pattern: str | None = None, text_col: str = "text", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``carry``, n_tokens, and SHA-256 digests of the ids and of the bytes that they decode to; one pass over the texts."""
-    path, pattern = _defaults(path, pattern)
     names = _carried(df, text_col, carry)
 
     def work(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,11 +203,6 @@ def digests(df: DataFrame, path: str | None = None, pattern: str | None = None,
     return names.mapInArrow(work, _schema(names) + "n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
-def _defaults(path: str | None, pattern: str | None) -> tuple[str, str]:
-    own = default_vocabulary() if path is None or pattern is None else ("", "")
-    return os.fspath(path or own[0]), pattern or own[1]
-
-
 def _carried(df: DataFrame, first: str, carry: tuple[str, ...]) -> DataFrame:
     return df.select(F.col(f"`{first}`").alias("_first"), *(F.col(f"`{c}`") for c in carry))
 
