@@ -7,12 +7,15 @@ features, trained by gradient descent on the conditional likelihood of labelled
 content blocks, joined by line feeds, are the main text.
 
 The labelled pages are made here, by a generator of page layouts (``labelled_pages``): menus, headers, footers,
-sidebars, notices, adverts, forms and comments around and inside articles in several kinds of container. Training
+sidebars, notices, adverts, forms and comments around and inside articles in several kinds of container, with telling,
+misleading or no names; some pages have neither names nor telling tags, so that text alone must decide. Training
 takes a fixed number of pages and a few seconds on the driver; only the weights (some thousand floats) travel.
 
 Defined results: null or blank html gives empty text; broken markup is read as browsers do, as far as blocks are
-concerned (unclosed tags, stray angle brackets, missing ends); pages of any length are read whole; repeated rows each
-get their text; an empty table gives an empty result; other columns do not matter.
+concerned (unclosed tags, stray angle brackets, missing ends); a tag ends before the next angle bracket outside quotes
+and has at most ``PARTS`` quoted and other parts, and an end tag looks ``REACH`` open elements up, so time follows the page's length;
+pages of any length are read whole; repeated rows each get their text; an empty table gives an empty result; other
+columns do not matter.
 """
 
 from __future__ import annotations
@@ -32,7 +35,9 @@ BLOCK_TAGS = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset "
     "h1 h2 h3 h4 h5 h6 head header hr html label legend li main menu nav noframes ol optgroup option p pre section select summary table tbody td textarea tfoot th thead title tr ul".split()
 )
-RAW_TAGS = frozenset("script style noscript template iframe noembed xmp svg math object canvas audio video head title".split())
+#: What a page does not show as text, up to its end tag; without one, the first kind hides the rest of the page, the second nothing.
+RAW_TAGS = frozenset("script style noscript template iframe noembed xmp title".split())
+EMBEDDED_TAGS = frozenset("svg object canvas audio video head".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Opening the first closes an open one of the second, up to one of the third.
 IMPLIED = {
@@ -45,46 +50,50 @@ IMPLIED = {
     "option": (("option",), ("select",)),
 }
 CLOSES_P = BLOCK_TAGS - {"button", "label", "option", "optgroup", "body", "html", "head"}
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+|[^>]*)>", re.S)
+PARTS, REACH, MOST_FEATURES = 400, 128, 200
+TAG = re.compile(rf"<!--.*?(?:-->|\Z)|<[!?][^<>]*>|<(/?)([A-Za-z][^\s/<>]*)((?:[^<>\"']++|\"[^\"]{{0,65536}}\"|'[^']{{0,65536}}'){{0,{PARTS}}}+|[^<>]*+)>", re.S)
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 NAME_WORD = re.compile(r"[a-z]+")
 
 
 class _Open:
-    """An open element: its tag, whether it is a link, and the features of it and its ancestors."""
+    """An open element: its tag, the nearest block element, whether it is in a link, and the features of it and its ancestors."""
 
-    __slots__ = ("features", "link", "tag")
+    __slots__ = ("block", "features", "link", "tag")
 
-    def __init__(self, tag: str, attributes: str, above: frozenset[str], link: bool):
+    def __init__(self, tag: str, attributes: str, above: _Open | None):
         own = {f"in:{tag}"} if tag in BLOCK_TAGS else set()
-        if attributes:
+        if attributes and above and len(above.features) < MOST_FEATURES:
             for found in NAMES.finditer(attributes):
                 own.update(f"name:{w}" for w in NAME_WORD.findall((found[1] or found[2] or found[3] or "").lower()))
-        self.tag, self.link, self.features = tag, link or tag == "a", above | own if own - above else above
+        before = above.features if above else frozenset()
+        self.tag, self.link, self.features = tag, tag == "a" or bool(above and above.link), before | own if own - before else before
+        self.block = self if above is None or tag in BLOCK_TAGS else above.block
 
 
 def blocks(html: str) -> Iterator[tuple[str, str, frozenset[str], int]]:
     """(text, tag, ancestor features, characters in links) of each leaf block in page order."""
-    stack = [_Open("", "", frozenset(), False)]
+    stack = [_Open("", "", None)]
     parts: list[str] = []
+    endless: set[str] = set()
     linked = at = 0
     end = len(html)
 
     def flush():
         nonlocal linked
-        raw = "".join(parts)
-        text = " ".join((unescape(raw) if "&" in raw else raw).split())
-        made = (text, block.tag, stack[-1].features, linked) if text else None
+        text = " ".join("".join(parts).split())
+        made = (text, stack[-1].block.tag, stack[-1].features, linked) if text else None
         parts.clear()
         linked = 0
         return made
 
-    block = stack[0]
     while at < end:
         found = TAG.search(html, at)
         upto = found.start() if found else end
         if upto > at:
-            parts.append(html[at:upto])
+            # Character references end with their piece of text.
+            piece = html[at:upto]
+            parts.append(unescape(piece) if "&" in piece else piece)
             if stack[-1].link:
                 linked += upto - at
         if not found:
@@ -96,16 +105,21 @@ def blocks(html: str) -> Iterator[tuple[str, str, frozenset[str], int]]:
         if tag == "br":
             parts.append(" ")
             continue
-        if tag in BLOCK_TAGS or tag in RAW_TAGS:
-            if tag in BLOCK_TAGS and parts and (made := flush()):
-                yield made
-            if tag in RAW_TAGS and not closing:
-                if not found[3].endswith("/"):
-                    stop = re.compile(rf"</{tag}\b[^>]*>", re.I).search(html, at)
-                    at = stop.end() if stop else (end if tag != "head" else at)
+        if tag in BLOCK_TAGS and parts and (made := flush()):
+            yield made
+        if tag in RAW_TAGS or tag in EMBEDDED_TAGS:
+            if closing or found[3].endswith("/"):
                 continue
+            stop = None if tag in endless else re.compile(rf"</{tag}\b[^<>]*>", re.I).search(html, at)
+            if stop:
+                at = stop.end()
+                continue
+            endless.add(tag)
+            if tag in RAW_TAGS:
+                break
+            continue
         if closing:
-            for k in range(len(stack) - 1, 0, -1):
+            for k in range(len(stack) - 1, max(0, len(stack) - 1 - REACH), -1):
                 if stack[k].tag == tag:
                     del stack[k:]
                     break
@@ -116,14 +130,13 @@ def blocks(html: str) -> Iterator[tuple[str, str, frozenset[str], int]]:
                 _close(stack, ("p",), ("button", "td", "th", "table"))
             if tag in IMPLIED:
                 _close(stack, *IMPLIED[tag])
-            stack.append(_Open(tag, found[3], stack[-1].features, stack[-1].link))
-        block = next((x for x in reversed(stack) if x.tag in BLOCK_TAGS), stack[0])
+            stack.append(_Open(tag, found[3], stack[-1]))
     if parts and (made := flush()):
         yield made
 
 
 def _close(stack: list[_Open], tags: tuple[str, ...], within: tuple[str, ...]) -> None:
-    for k in range(len(stack) - 1, 0, -1):
+    for k in range(len(stack) - 1, max(0, len(stack) - 1 - REACH), -1):
         if stack[k].tag in within:
             return
         if stack[k].tag in tags:
@@ -133,14 +146,18 @@ def _close(stack: list[_Open], tags: tuple[str, ...], within: tuple[str, ...]) -
 
 def _text_features(text: str, tag: str, linked: int) -> list[str]:
     n, words = len(text), text.count(" ") + 1
+    size, links, stop = min(words.bit_length(), 7), min(4, 5 * linked // max(n, 1)), text[-1] in ".!?…。"
+    sentences = min(3, text.count(". ") + text.count("! ") + text.count("? ") + stop)
     return [
         f"tag:{tag}",
-        f"words:{min(words.bit_length(), 7)}",
-        f"links:{min(4, 5 * linked // max(n, 1))}",
-        f"stop:{text[-1] in '.!?…。'}",
+        f"words:{size}",
+        f"links:{links}",
+        f"stop:{stop}",
         f"commas:{min(3, text.count(','))}",
         f"mark:{'©' in text or '®' in text or '·' in text}",
         f"upper:{text[:1].isupper()}",
+        f"size:{size},{links},{sentences}",
+        f"kind:{tag},{links > 2},{size > 3}",
     ]
 
 
@@ -166,6 +183,7 @@ CHROME = {
     "comments": "comments comment disqus respond replies reply discussion reader",
     "share": "share social sharing tools meta tags byline follow buttons",
 }
+MISLEADING = "wrap box widget block top meta tools panel header7 side"
 CONTENT = "content article post entry story main body text page maincontent hentry prose read single"
 
 
@@ -207,9 +225,18 @@ def _chrome(rng: random.Random, kind: str) -> list:
     return [*out, f"</{tag}>"]
 
 
-def _article(rng: random.Random) -> list:
+def _container(rng: random.Random) -> tuple[str, str]:
+    """Tag and attributes of an article's container: telling ones, plain ones, misleading ones."""
     kind = rng.random()
-    tag, named = ("article", "" if rng.random() < 0.7 else _attr(rng, CONTENT)) if kind < 0.5 else ("main", "") if kind < 0.65 else (rng.choice(("div", "section")), _attr(rng, CONTENT))
+    if kind < 0.4:
+        return "article", "" if rng.random() < 0.7 else _attr(rng, CONTENT)
+    if kind < 0.5:
+        return "main", ""
+    return rng.choice(("div", "div", "section")), _attr(rng, CONTENT) if kind < 0.7 else "" if kind < 0.92 else _attr(rng, MISLEADING)
+
+
+def _article(rng: random.Random, container: tuple[str, str] | None = None) -> list:
+    tag, named = container or _container(rng)
     junk = rng.choice(("", "", "", "***", "$$$", "%%%", "!!", "&amp;&amp;", " |"))
     out: list = [f"<{tag}{named}>"]
     if rng.random() < 0.85:
@@ -236,8 +263,63 @@ def _article(rng: random.Random) -> list:
     return [*out, f"</{tag}>"]
 
 
+def _nameless(rng: random.Random) -> str:
+    return f"<div class={rng.choice('abcdefgxyz')}{rng.randint(1, 99)}>"
+
+
+def _prose(rng: random.Random, n: int) -> str:
+    """A paragraph: mostly with full stops and commas as sentences have them."""
+    words = _words(rng, n).rstrip(".,").split(" ")
+    if rng.random() < 0.85:
+        words = [w.rstrip(".") + ("." if i % 14 == 13 else "") for i, w in enumerate(words)]
+        words[-1] = words[-1].rstrip(".,") + rng.choice("...!?")
+    return " ".join(words)
+
+
+def _plain_chrome(rng: random.Random, kind: str) -> list:
+    """A piece that is not content in a container without a name: links, a short line, a mark, a form."""
+    out: list = [rng.choice(("<div>", "<div>", "<section>", _nameless(rng)))]
+    if kind == "links":
+        listed = rng.random() < 0.7
+        out.append("<ul>" if listed else "")
+        for _ in range(rng.randint(2, 9)):
+            out += ["<li><a href=/x>" if listed else "<a href=/x>", (_words(rng, rng.randint(1, 4)), 0), "</a></li>" if listed else "</a></div><div>"]
+        out.append("</ul>" if listed else "")
+    elif kind == "mark":
+        out.append((rng.choice(("&copy; ", "© ")) + _words(rng, rng.randint(2, 12)) + rng.choice(("", " &middot; " + _words(rng, 3))), 0))
+    elif kind == "form":
+        out += ["<form><label>", (_words(rng, 2), 0), "</label><input name=q><button>", (_words(rng, 1), 0), "</button></form>"]
+    else:
+        out += ["<a href=/>", (_words(rng, rng.randint(1, 3)), 0), "</a>"]
+    return [*out, {"<section>": "</section>"}.get(out[0], "</div>")]
+
+
+def _plain_body(rng: random.Random) -> list:
+    """The body of a page without telling names and tags: text alone says what the article is."""
+    before, after = ["logo", "links", "form"], ["links", "mark", "form"]
+    out, often = [], rng.choice((0.0, 0.3, 0.6, 0.8))
+    for kind in before:
+        out += _plain_chrome(rng, kind) if rng.random() < often else []
+    tag = rng.choice(("div", "div", "section", "td"))
+    inner: list = ["<table><tr><td>"] if tag == "td" else [_nameless(rng) if tag == "div" and rng.random() < 0.3 else f"<{tag}>"]
+    if rng.random() < 0.7:
+        inner += ["<h1>", (_words(rng, rng.randint(2, 9)), 1), "</h1>"]
+    for _ in range(rng.choice((1, 2, 2, 3, 5, 9))):
+        box = rng.choice(("p", "p", "p", "div", "h2", "blockquote"))
+        inner += [f"<{box}>", (_words(rng, rng.randint(2, 6)) if box == "h2" else _prose(rng, rng.choice((8, 15, 30, 60, 120))), 1), f"</{box}>"]
+    out += [*inner, "</td></tr></table>" if tag == "td" else f"</{tag}>"]
+    for kind in after:
+        out += _plain_chrome(rng, kind) if rng.random() < often else []
+    return out
+
+
 def labelled_page(rng: random.Random) -> tuple[str, list[int]]:
     """A page and the labels of its leaf blocks (1: content)."""
+    if rng.random() < 0.04:
+        box = rng.choice(("article", "div", "main", "p", "section"))
+        return _labelled([f"<body><{box}><p>", (rng.choice((_words, _prose))(rng, rng.choice((8, 20, 50))), 1), f"</p></{box}></body>"])
+    if rng.random() < 0.35:
+        return _labelled(["<html><head><title>t</title></head><body>", *_plain_body(rng), "</body></html>"])
     tokens: list = [f"<!DOCTYPE html><html><head><title>{_words(rng, 5)}</title><style>p{{margin:0}}</style><script>var t='</p>';</script></head><body>"]
     for kind in ("header", "nav", "notice", "ad"):
         if rng.random() < 0.55:
@@ -254,6 +336,10 @@ def labelled_page(rng: random.Random) -> tuple[str, list[int]]:
     if rng.random() < 0.8:
         tokens += _chrome(rng, "footer")
     tokens.append(rng.choice(("</body></html>", "")))
+    return _labelled(tokens)
+
+
+def _labelled(tokens: list) -> tuple[str, list[int]]:
     html = "".join(t if isinstance(t, str) else t[0] for t in tokens)
     # A control character and the label at each text's end come back in its leaf block.
     marked = "".join(t if isinstance(t, str) else f"{t[0]} \x02{t[1]}" for t in tokens)
@@ -272,7 +358,9 @@ def labelled_pages(n: int, seed: int = 7) -> list[tuple[str, list[int]]]:
 def block_features(html: str | None) -> list[tuple[str, list[str], frozenset[str]]]:
     """(text, text features, ancestor features) of each block; the first and last block know that they are."""
     found = [(text, _text_features(text, tag, linked), above) for text, tag, above, linked in blocks(html or "")]
-    if found:
+    if len(found) == 1:
+        found[0][1].append("only")
+    elif found:
         found[0][1].append("first")
         found[-1][1].append("last")
     return found
@@ -373,8 +461,8 @@ def train(pages: list[tuple[str, list[int]]], rounds: int = 200, rate: float = 0
 
 @lru_cache(maxsize=1)
 def default_model() -> Crf:
-    """Trained on 500 generated pages; the same each time."""
-    return train(labelled_pages(500))
+    """Trained on 600 generated pages; the same each time."""
+    return train(labelled_pages(600), rounds=150)
 
 
 def extract(df: DataFrame, model: Crf | None = None, html_col: str = "html", carry: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
