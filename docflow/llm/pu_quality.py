@@ -1,17 +1,20 @@
 """A quality classifier by positive-unlabelled learning with the non-negative unbiased risk estimator.
 
-Trusted positives are labelled good documents; the unlabelled set is web text as it comes; the class prior is
+Trusted positives are labelled good documents; the unlabelled set is all the web text there is; the class prior is
 estimated from both by the best bin of a first classifier (the least ratio of tail shares, unlabelled to positive,
 with a confidence margin). A linear model over binned text statistics then minimises
 ``prior * risk(P, +) + max(0, risk(U, -) - prior * risk(P, -))`` under the sigmoid loss; where the bracket is
-negative, a step goes the other way. Its output becomes a probability by a logistic fit on labelled training rows.
+negative, a step goes the other way. Its margin becomes a probability without negatives too: slope and offset minimise
+the logistic risk of positives and unlabelled texts, which is convex and has the posterior as its minimum.
 
-Statistics of every whole text are computed once and stored; a bounded, hash-drawn sample (``learning.SAMPLE_ROWS`` of
-each kind) goes to the driver to fit some 200 weights; every row is scored.
+Statistics of every whole text are computed once and stored. A bounded, hash-drawn sample of the labelled positives
+(``learning.SAMPLE_ROWS``) travels. Every unlabelled text takes part: texts are dealt out by hash in blocks of about ``BLOCK``, a
+task minimises the risk over a block and the positives, and the weights are averaged over blocks, ``MIXES`` times from where
+the last average stands. Tail shares and the last map use counts of margins over all texts, in ``CUTS`` cuts.
 
 Defined results: null and blank texts have all statistics zero and get a score like others; a null id is not held out
 and is never learned from; repeated rows are each scored; texts of any length are read whole; an empty table gives
-an empty result; without labels of both kinds the score is 0.5; other columns do not matter.
+an empty result; without a labelled positive the score is 0.5; other columns do not matter.
 """
 
 from __future__ import annotations
@@ -25,10 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docflow.llm.common import stored
-from docflow.llm.learning import SAMPLE_ROWS, drawn, fit_logistic, fold, sigmoid
+from docflow.llm.learning import SAMPLE_ROWS, drawn, fold, sigmoid
 
 FOLDS, HELD_OUT, THRESHOLD = 5, 0, 0.3
-BINS = 12
+#: Shares of the positives below the edges of a statistic's bins.
+LEVELS = (0.002, 0.02, 0.1, 0.2, 0.35, 0.5, 0.65, 0.8, 0.9, 0.98, 0.998)
+BINS = len(LEVELS) + 1
+#: Unlabelled texts of a block, averages, and cuts of the margin's range that are counted.
+BLOCK, MIXES, CUTS = 20_000, 2, 2000
 NAMES = ("words", "word_length", "distinct", "pairs", "triples", "same_next", "upper", "lower", "digits", "marks", "stops", "bars", "other", "symbols", "lines", "same_lines")
 
 
@@ -103,9 +110,10 @@ def _gradient(cells: np.ndarray, pull: np.ndarray, size: int) -> np.ndarray:
     return np.bincount(cells.ravel(), np.repeat(pull, cells.shape[1]), size)
 
 
-def _minimise(positive: np.ndarray, unlabelled: np.ndarray, size: int, prior: float | None, rounds: int = 300, rate: float = 0.05, decay: float = 1e-3) -> np.ndarray:
+def _minimise(positive: np.ndarray, unlabelled: np.ndarray, start: np.ndarray, prior: float | None, rounds: int = 300, rate: float = 0.05, decay: float = 1e-3) -> np.ndarray:
     """Weights under the non-negative risk; without a prior, positives against unlabelled with the logistic loss."""
-    w, m, v = np.zeros(size), np.zeros(size), np.zeros(size)
+    w, size = start.copy(), len(start)
+    m, v = np.zeros(size), np.zeros(size)
     for t in range(1, rounds + 1):
         gp, gu = w[positive].sum(1), w[unlabelled].sum(1)
         if prior is None:
@@ -122,45 +130,117 @@ def _minimise(positive: np.ndarray, unlabelled: np.ndarray, size: int, prior: fl
 
 
 def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, confidence: float = 0.1) -> float:
-    """The least ratio of tail shares, unlabelled to positive, over thresholds; a margin keeps thin tails from deciding."""
-    cuts = np.unique(np.quantile(positive, np.linspace(0, 0.95, 50)))
-    p = 1 - np.searchsorted(np.sort(positive), cuts) / len(positive)
-    u = 1 - np.searchsorted(np.sort(unlabelled), cuts) / len(unlabelled)
-    margin = np.sqrt(np.log(4 / confidence) / 2 / len(unlabelled)) + np.sqrt(np.log(4 / confidence) / 2 / len(positive))
-    best = np.argmin((u + margin) / p)
+    """The least ratio of tail shares, unlabelled to positive; a margin keeps thin tails from deciding.
+
+    Both are counts by rising cut of the margin.
+    """
+    tail = lambda n: np.cumsum(n[::-1])[::-1] / max(n.sum(), 1)
+    p, u = tail(positive), tail(unlabelled)
+    ok = p >= 0.05
+    margin = np.sqrt(np.log(4 / confidence) / 2 / max(unlabelled.sum(), 1)) + np.sqrt(np.log(4 / confidence) / 2 / max(positive.sum(), 1))
+    best = np.argmin(np.where(ok, (u + margin) / np.maximum(p, 1e-9), np.inf))
     return float(np.clip(u[best] / p[best], 0.05, 0.98))
 
 
-def fit(positive: np.ndarray, unlabelled: np.ndarray, labelled: np.ndarray, labels: np.ndarray) -> Model:
-    """The model from statistics of positives, of unlabelled texts, and of labelled training rows for the last map."""
-    both = np.vstack([positive, unlabelled])
-    edges = np.sort(np.quantile(both, np.linspace(0, 1, BINS + 1)[1:-1], axis=0).T, axis=1)
-    size = edges.shape[0] * BINS
-    p, u = _cells(positive, edges), _cells(unlabelled, edges)
-    # Every other row estimates the prior with what the rest taught.
-    first = _minimise(p[::2], u[::2], size, None, rounds=150)
-    prior = estimate_prior(first[p[1::2]].sum(1), first[u[1::2]].sum(1)) if len(p) > 1 and len(u) > 1 else 0.5
-    weights = _minimise(p, u, size, prior)
-    slope, offset = fit_logistic(weights[_cells(labelled, edges)].sum(1)[:, None], labels)
-    return Model(edges, weights, float(slope[0]), offset, prior)
-
-
-def _matrix(df: DataFrame) -> np.ndarray:
-    rows = df.select("stats").toArrow().column(0)
-    return np.array(rows.to_pylist(), np.float64).reshape(-1, len(NAMES))
+def posterior_map(at: np.ndarray, positive: np.ndarray, unlabelled: np.ndarray, prior: float, rounds: int = 100) -> tuple[float, float]:
+    """Slope and offset that minimise the logistic risk, from counts of margins ``at`` among positives and unlabelled."""
+    p, u = positive / positive.sum(), unlabelled / unlabelled.sum()
+    z, w = np.stack([at, np.ones_like(at)], 1), np.array([1.0, 0.0])
+    for _ in range(rounds):
+        s = sigmoid(z @ w)
+        g = z.T @ (u * s - prior * p) + 1e-6 * w
+        h = (z * (u * s * (1 - s))[:, None]).T @ z + 1e-6 * np.eye(2)
+        step = np.clip(np.linalg.solve(h, g), -1, 1)
+        w -= step
+        if np.abs(step).max() < 1e-9:
+            break
+    return float(w[0]), float(w[1])
+
+
+def fit(positive: np.ndarray, blocks, counted) -> Model:
+    """The model from the positives' statistics.
+
+    ``blocks(edges, start, prior)`` averages the weights minimised over blocks of unlabelled texts; ``counted(edges, weights,
+    cuts)`` counts unlabelled margins between cuts.
+    """
+    # The outer bins hold what hardly any positive reaches.
+    edges = np.sort(np.quantile(positive, LEVELS, axis=0).T, axis=1)
+    p = _cells(positive, edges)
+
+    def both(w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        low, high = w.reshape(len(edges), BINS).min(1).sum(), w.reshape(len(edges), BINS).max(1).sum()
+        cuts = np.linspace(low, high + 1e-9, CUTS + 1)
+        own = np.bincount(np.clip(np.searchsorted(cuts, w[p].sum(1), side="right") - 1, 0, CUTS - 1), minlength=CUTS)
+        return (cuts[1:] + cuts[:-1]) / 2, own, counted(edges, w, cuts)
+
+    zero = np.zeros(edges.shape[0] * BINS)
+    _, own, others = both(blocks(edges, zero, None))
+    prior = estimate_prior(own, others)
+    weights = zero
+    for _ in range(MIXES):
+        weights = blocks(edges, weights, prior)
+    at, own, others = both(weights)
+    slope, offset = posterior_map(at, own, others, prior)
+    return Model(edges, weights, slope, offset, prior)
+
+
+def _stats(b: pa.RecordBatch, column: str = "stats") -> np.ndarray:
+    return b.column(column).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, len(NAMES))
+
+
+def _mixed(rows: Iterator[pa.RecordBatch], positive: np.ndarray, edges: np.ndarray, start: np.ndarray, prior: float | None) -> Iterator[pa.RecordBatch]:
+    """Rows (block, h, stats) by block and h to (at, sum, n): weights minimised over each block, times its texts."""
+    p, held = _cells(positive, edges), []
+
+    def told() -> pa.RecordBatch:
+        x = np.vstack([h[1] for h in held])
+        w = _minimise(p, _cells(x, edges), start, prior) * len(x)
+        held.clear()
+        return pa.RecordBatch.from_arrays([pa.array(np.arange(len(w)), pa.int32()), pa.array(w), pa.array(np.full(len(w), len(x)), pa.int64())], names=["at", "w", "n"])
+
+    for b in rows:
+        block, x = b.column("block").to_numpy(), _stats(b)
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(block)) + 1, [len(block)]])
+        for i, e in zip(cuts[:-1], cuts[1:], strict=True):
+            if held and (held[0][0] != block[i] or sum(len(h[1]) for h in held) >= 2 * BLOCK):
+                yield told()
+            if e > i:
+                held.append((block[i], x[i:e]))
+    if held:
+        yield told()
 
 
 def train(stats: DataFrame, labels: DataFrame, label_col: str = "quality") -> Model | None:
-    """The model from stored statistics and (doc_id, label) rows outside the held-out fold; None without both labels."""
-    own = labels.where((fold(F.col("doc_id"), FOLDS) != HELD_OUT) & F.col(label_col).isNotNull())
-    own = own.groupBy(F.col("doc_id").alias("id")).agg(F.max(label_col).alias("label"))
-    known = stored(stats.join(own, "id").select("id", "h", "stats", "label"), "labelled")
-    sample = drawn(known, F.col("h"), 2 * SAMPLE_ROWS).select("stats", "label").toArrow()
-    x = np.array(sample.column(0).to_pylist(), np.float64).reshape(-1, len(NAMES))
-    y = np.array(sample.column(1).to_pylist(), np.float64)
-    if not (y == 1).any() or not (y == 0).any():
+    """The model from stored statistics and (doc_id, label) rows outside the held-out fold; None without a positive."""
+    own = labels.where((fold(F.col("doc_id"), FOLDS) != HELD_OUT) & (F.col(label_col) == 1)).select(F.col("doc_id").alias("id")).distinct()
+    known = stored(stats.join(own, "id", "left_semi").select("h", "stats"), "positives")
+    sample = drawn(known, F.col("h")).toArrow()
+    positive = np.array(sample.column("stats").to_pylist(), np.float64).reshape(-1, len(NAMES))
+    if not len(positive):
         return None
-    return fit(x[y == 1][:SAMPLE_ROWS], _matrix(drawn(stats, F.col("h"))), x, y)
+    total = stats.count()
+    block = F.pmod(F.xxhash64("h", F.lit(23)), F.lit(-(-total // BLOCK)))
+    dealt = stored(stats.select(block.alias("block"), "h", "stats").repartition("block").sortWithinPartitions("block", "h"), "blocks")
+
+    def blocks(edges: np.ndarray, start: np.ndarray, prior: float | None) -> np.ndarray:
+        rows = dealt.select("block", "stats").mapInArrow(lambda b: _mixed(b, positive, edges, start, prior), "at int, w double, n long")
+        found = rows.groupBy("at").agg((F.sum("w") / F.sum("n")).alias("w")).orderBy("at").toArrow()
+        return found.column("w").to_numpy().copy()
+
+    def counted(edges: np.ndarray, w: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+        def work(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            n = np.zeros(CUTS, np.int64)
+            for b in rows:
+                n += np.bincount(np.clip(np.searchsorted(cuts, w[_cells(_stats(b), edges)].sum(1), side="right") - 1, 0, CUTS - 1), minlength=CUTS)
+            at = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(n[at])], names=["at", "n"])
+
+        out = np.zeros(CUTS)
+        for r in dealt.select("stats").mapInArrow(work, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():
+            out[r["at"]] = r["n"]
+        return out
+
+    return fit(positive, blocks, counted)
 
 
 def classify(df: DataFrame, labels: DataFrame) -> DataFrame:
@@ -170,7 +250,7 @@ def classify(df: DataFrame, labels: DataFrame) -> DataFrame:
 
     def work(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in rows:
-            x = b.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, len(NAMES))
+            x = _stats(b)
             score = model.score(x) if model else np.full(len(x), 0.5)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(score, pa.float64())], names=["doc_id", "score"])
 
