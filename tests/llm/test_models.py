@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 import zlib
 from html import unescape
 
@@ -46,6 +47,52 @@ def test_odd_pages(spark, html, text):
     assert html_crf.extract(df.limit(0)).count() == 0
 
 
+PROSE = "The old harbour was rebuilt after the storm, and its walls now hold against the winter tides. Ships come in by night."
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        (f"<body><div><ul><li><a href=/>Home</a></li><li><a href=/n>News</a></li></ul></div><div><p>{PROSE}</p><p>{PROSE} More of it.</p></div><div>&copy; 2024 Harbour Press</div></body>", f"{PROSE}\n{PROSE} More of it."),
+        (f"<body><div class=x9><p>{PROSE}</p><p>{PROSE}</p></div></body>", f"{PROSE}\n{PROSE}"),
+        (f"<article><p>{PROSE} &am<b>p;</b> x</p></article>", f"{PROSE} &amp; x".replace("&amp;", "&am" + "p;")),
+        (f"<article><p>{PROSE}<svg></p><p>{PROSE}</p></article>", f"{PROSE}\n{PROSE}"),
+        (f"<article><p>{PROSE} <math><mi>x</mi></math> <svg><text>icon</text></svg></p></article>", f"{PROSE} x"),
+    ],
+)
+def test_text_decides_where_names_do_not(html, text):
+    assert html_crf.default_model().main_text(html) == text
+
+
+def test_pages_without_names():
+    """Unseen pages that have no telling name or tag, and what is left elsewhere when names are taken away."""
+    model, rng = html_crf.default_model(), random.Random(99)
+
+    def accuracy(pages, keep):
+        right = total = 0
+        for html, labels in pages:
+            found = [(t, own, frozenset(f for f in above if keep in f)) for t, own, above in html_crf.block_features(html)]
+            got = model.viterbi(model.emissions(found))
+            right, total = right + sum(a == b for a, b in zip(got, labels, strict=True)), total + len(labels)
+        return right / total
+
+    plain = [html_crf._labelled(["<body>", *html_crf._plain_body(rng), "</body>"]) for _ in range(200)]
+    assert accuracy(plain, "") > 0.97
+    assert accuracy(html_crf.labelled_pages(200, seed=99), "in:") > 0.75
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<b>x", '<a ">"', "<!", "<svg>", "<div>", "</i><b>", "<i><div><b></i>", "<!--", "<p><table><td><div>", "<a '\"", "<div class=n{}>y"])
+def test_time_follows_broken_markup(piece):
+    def seconds(n):
+        html = "".join(piece.replace("{}", str(i)) for i in range(n // len(piece)))
+        began = time.perf_counter()
+        list(html_crf.blocks(html))
+        return time.perf_counter() - began
+
+    few, many = min(seconds(100_000) for _ in range(2)), min(seconds(200_000) for _ in range(2))
+    assert few < 1.5 and many < 3 * few + 0.1
+
+
 def test_viterbi_is_the_best_path():
     rng = random.Random(2)
     for _ in range(200):
@@ -93,18 +140,24 @@ def test_prior_and_risk():
     good, bad = rng.normal(0, 1, (3000, len(pu_quality.NAMES))), rng.normal(0, 1, (3000, len(pu_quality.NAMES)))
     bad[:, 0] += 4
     unlabelled = np.vstack([good[1000:2400], bad[:600]])
-    x, y = np.vstack([good[2400:], bad[2000:]]), np.repeat([1.0, 0.0], [600, 1000])
-    m = pu_quality.fit(good[:1000], unlabelled, x, y)
+    cells = pu_quality._cells
+    blocks = lambda edges, start, prior: pu_quality._minimise(cells(good[:1000], edges), cells(unlabelled, edges), start, prior)
+    counted = lambda edges, w, cuts: np.histogram(w[cells(unlabelled, edges)].sum(1), cuts)[0]
+    m = pu_quality.fit(good[:1000], blocks, counted)
     assert abs(m.prior - 0.7) < 0.12
     assert (m.score(good) > 0.5).mean() > 0.95 and (m.score(bad) < 0.5).mean() > 0.95
 
 
-def brute_segments(hits, gap):
-    if not hits:
-        return []
-    s = [-gap] * (hits[-1][0] + 1)
-    for p, v in hits:
-        s[p] = v
+def test_quality_scores_do_not_depend_on_the_order_of_rows(spark, monkeypatch):
+    monkeypatch.setattr(pu_quality, "BLOCK", 300)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    one = {r.doc_id: r.score for r in pu_quality.classify(docs, labels).collect()}
+    two = {r.doc_id: r.score for r in pu_quality.classify(docs.repartition(7), labels).collect()}
+    assert one.keys() == two.keys() and max(abs(one[k] - two[k]) for k in one) < 1e-6
+
+
+def brute_segments(s):
 
     def rec(a, b):
         best = None
@@ -122,8 +175,8 @@ def brute_segments(hits, gap):
 def test_segments_by_brute_force():
     rng = random.Random(3)
     for _ in range(600):
-        hits = [(i, rng.choice((0.3, 0.7, 1.1, 2.3)) + rng.random() * 0.01) for i in sorted(rng.sample(range(25), rng.randrange(14)))]
-        assert [x[:2] for x in toxic_segments.segments(hits, 0.37)] == brute_segments(hits, 0.37)
+        scores = [rng.choice((-1.9, -0.8, -0.3, -0.1, 0.2, 0.7, 1.1, 2.3)) + rng.random() * 0.01 for _ in range(rng.randrange(25))]
+        assert [x[:2] for x in toxic_segments.segments(scores)] == brute_segments(scores)
 
 
 def check_neighbours(rows, vectors, step=20, k=20):
