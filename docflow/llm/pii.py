@@ -1,22 +1,26 @@
 r"""Personal data: exact patterns, and terms that disclose what they found by corpus co-occurrence.
 
 Base spans are the leftmost non-overlapping matches of four patterns, checked afterwards. A value found is a protected
-entity. For every word near an entity the corpus gives the pointwise mutual information of word and entity; divided
-by the entity's own information it says which part of the entity the word gives away (1: every document with the
-word has the entity). Words above the threshold, seen with the entity in enough different texts, become spans of
-kind ``term``; sanitising generalises them, or removes them where disclosure is total.
-
-Only DataFrame functions run. Base spans need no shuffle. Statistics shuffle the words near entities, which follow
-the number of entities, and one count for each word that can still reach the threshold; whole texts are never
-shuffled for them.
+entity. Over whole documents the corpus gives the pointwise mutual information of word and entity; divided by the
+entity's own information it says which part of the entity the word gives away (1: every document with the word has
+the entity). Words from ``THRESHOLD`` on, seen with the entity in at least ``SUPPORT`` different texts, disclose it:
+wherever such a word stands, in whatever text, it becomes a span of kind ``term``. Sanitising generalises it to the
+longest of its first ``PREFIXES`` letters that discloses less than the threshold as a class of words, or removes it if
+none does.
+
+Only DataFrame functions run. Base spans need no shuffle. Statistics shuffle the words of those texts only that hold an
+entity known from ``SUPPORT`` texts, and of these, before words meet entities, the ones that are rare enough to
+reach the threshold with any of the text's entities; counts over all documents are kept to the words that remain. Words
+that disclose go to the scan as literals up to ``LITERAL_WORDS``; more of them are joined.
 
 The patterns are the contract's with possessive loops (the classes on both sides of each loop are disjoint, so no
 match changes) and an anchor that forbids starting inside a run of the first class, unless the last match ended
-there; a start inside a run could only match where the run's own start does. This keeps long runs linear.
+there; a start inside a run could only match where the run's own start does. This keeps long runs linear, as do
+folds that never copy what they have emitted.
 
 Defined results: null texts are empty; repeated rows each get their spans and count as documents in the statistics,
-while the support of a word counts different texts; texts of any length are searched whole; an empty table gives an
-empty result; other columns, whatever their names, do not matter.
+while the support of a word counts different texts; words in an address are part of it and not terms; texts of any
+length are searched whole; an empty table gives an empty result; other columns, whatever their names, do not matter.
 """
 
 from __future__ import annotations
@@ -24,10 +28,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docflow.functions.rx import emitted
 from docflow.llm.common import let, stored, where_settled
 
 KINDS = ("email", "ip", "card", "phone", "term")
-LABELS = ("[EMAIL]", "[IP]", "[CARD]", "[PHONE]", "[TERM]")
+LABELS = ("[EMAIL]", "[IP]", "[CARD]", "[PHONE]")
 PART = r"0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
 EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IP = r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++){3}"
@@ -35,33 +40,33 @@ CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 TERM = r"\p{L}[\p{L}\p{M}]{2,}+"
 
-#: Code points on each side of an entity in which words are its context.
-REACH = 48
 #: Part of an entity's information from which a word is disclosing, and different texts in which both must be seen.
 THRESHOLD, SUPPORT = 0.8, 3
-#: Candidate words up to this number (some 20 bytes each) are broadcast to the word count; more are joined by shuffle.
-BROADCAST_WORDS = 200_000
+#: Letters that a generalised word may keep, the most first.
+PREFIXES = (4, 2)
+#: Words up to this number (some 20 bytes each) are broadcast to a count; more are joined by shuffle. Words that the scan holds as literals.
+BROADCAST_WORDS, LITERAL_WORDS = 200_000, 5_000
 
 SPAN = "array<struct<start:int,ord:int,end:int,value:string>>"
+ONE_SPAN = "struct<start:int,ord:int,end:int,value:string>"
 
 
 def _none() -> Column:
     return F.array().cast(SPAN)
 
 
-def _matches(text: Column, pattern: str, order: int, valid=None, offset: Column | None = None) -> Column:
+def _matches(text: Column, pattern: str, order: int, valid=None) -> Column:
     """The matches of a pattern as spans in code points; pieces between matches give the positions."""
     pieces = F.zip_with(F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), 0), lambda p, m: F.struct(F.length(p).alias("gap"), m.alias("m")))
 
-    def step(a: Column, x: Column) -> Column:
+    def step(a: Column, x: Column) -> tuple[dict[str, Column], Column]:
         start = a["pos"] + x["gap"]
         end = start + F.coalesce(F.length(x["m"]), F.lit(0))
         span = F.array(F.struct(start.alias("start"), F.lit(order).alias("ord"), end.alias("end"), x["m"].alias("value")))
         ok = x["m"].isNotNull() if valid is None else x["m"].isNotNull() & valid(x["m"])
-        return F.struct(end.alias("pos"), F.when(ok, F.concat(a["out"], span)).otherwise(a["out"]).alias("out"))
+        return {"pos": end}, F.when(ok, span).otherwise(_none())
 
-    zero = F.struct((F.lit(0) if offset is None else offset.cast("int")).alias("pos"), _none().alias("out"))
-    return F.aggregate(pieces, zero, step, lambda a: a["out"])
+    return emitted(pieces, {"pos": F.lit(0)}, ONE_SPAN, step)
 
 
 def _digits(m: Column) -> Column:
@@ -94,112 +99,167 @@ def written(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(kinds, s["ord"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def _near(text: Column, spans: Column) -> Column:
-    """For each base span its entity and the words within reach that lie in no base span and are not cut by the window."""
+def _masked(text: Column) -> Column:
+    """The text with blanks in place of addresses, the only base spans that can hold letters."""
+    blank = F.zip_with(F.split(text, EMAIL, -1), F.regexp_extract_all(text, F.lit(EMAIL), 0), lambda gap, m: F.concat(gap, F.repeat(F.lit(" "), F.coalesce(F.length(m), F.lit(0)))))
+    return F.when(F.contains(text, F.lit("@")), F.array_join(blank, "")).otherwise(text)
+
+
+def terms_of(text: Column) -> Column:
+    """The different words of a text outside its addresses, in lower case."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(_masked(text), F.lit(TERM), 0), F.lower))
 
-    def words(s: Column) -> Column:
-        first = F.greatest(s["start"] - REACH, F.lit(0))
-        before = F.filter(_matches(F.substring(text, first + 1, s["start"] - first), TERM, 4, offset=first), lambda t: (t["start"] > first) | (first == 0))
-        stop = s["end"] + REACH
-        after = F.filter(_matches(F.substring(text, s["end"] + 1, F.lit(REACH)), TERM, 4, offset=s["end"]), lambda t: t["end"] < stop)
-        return F.filter(F.concat(before, after), lambda t: ~F.exists(spans, lambda o: (o["start"] < t["end"]) & (t["start"] < o["end"])))
 
-    return F.transform(spans, lambda s: F.struct(F.concat_ws(":", s["ord"].cast("string"), F.lower(s["value"])).alias("entity"), words(s).alias("words")))
+def entities_of(spans: Column) -> Column:
+    """The different entities of a text's spans: kind and value in lower case."""
+    return F.array_distinct(F.transform(spans, lambda s: F.concat_ws(":", s["ord"].cast("string"), F.lower(s["value"]))))
 
 
 def marked(df: DataFrame, text_col: str = "text", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``carry``, the base ``spans``, and for rows that have any the text's ``digest`` and the words near each span."""
+    """``carry``, the base ``spans``, and for rows that have any the text's ``digest``."""
     own = df.select(*(F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(carry)), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_text"))
     own = own.withColumn("spans", base_spans(F.col("_text")))
-    some = F.size("spans") > 0
-    return own.select(
-        *(F.col(f"_c{i}").alias(c) for i, c in enumerate(carry)),
-        "spans",
-        F.when(some, F.sha2("_text", 256)).alias("digest"),
-        F.when(some, _near(F.col("_text"), F.col("spans"))).alias("near"),
-    )
+    return own.select(*(F.col(f"_c{i}").alias(c) for i, c in enumerate(carry)), "spans", F.when(F.size("spans") > 0, F.sha2("_text", 256)).alias("digest"))
 
 
-def disclosures(df: DataFrame, found: DataFrame, text_col: str = "text", threshold: float = THRESHOLD, support: int = SUPPORT) -> DataFrame:
-    """(entity, term, part): the words that give away at least ``threshold`` of an entity.
+def _part(total: Column, n: Column, n_term: Column, n_entity: Column) -> Column:
+    return F.least(F.log2(total * n / (n_term * n_entity)) / F.log2(total / n_entity), F.lit(1.0))
 
-    ``found`` is ``marked(df)``, stored. Counts are of documents: n with both near each other, n_term with the word
-    anywhere, n_entity with the entity, of all rows.
+
+def _said(df: DataFrame, text_col: str, words: DataFrame, of=lambda t: t) -> DataFrame:
+    """(term, n_term): documents of ``df`` that say each of ``words.term``; ``of`` maps a text's words to what is counted."""
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    said = df.select(F.explode(of(terms_of(text))).alias("term"))
+    if words.count() <= BROADCAST_WORDS:
+        return said.join(F.broadcast(words), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    return said.groupBy("term").agg(F.count(F.lit(1)).alias("n_term")).join(words, "term", "left_semi")
+
+
+class Disclosures:
+    """What the corpus tells of words and entities; tables are stored.
+
+    ``told`` has (entity, term, part). Counts are of documents: n with both, n_term with the word, n_entity with the
+    entity, of all rows. A word cannot reach the threshold where more documents of those counted here say it
+    than ``total ** (1 - threshold) * n_entity ** threshold``, as n is at most n_entity and n_term at least their number.
     """
-    rows = found.where("digest is not null")
-    said_near = F.flatten(F.transform("near", lambda n: F.transform(n["words"], lambda t: F.struct(n["entity"].alias("entity"), F.lower(t["value"]).alias("term")))))
-    pairs = rows.select("digest", F.explode(F.array_distinct(said_near)).alias("p")).select("digest", "p.entity", "p.term")
-    met = stored(pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("digest").alias("texts")).where(F.col("texts") >= support), "met")
-    entities = rows.select(F.explode(F.array_distinct(F.transform("near", lambda n: n["entity"]))).alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    total = F.lit(float(df.count()))
-
-    def part(n_term: str) -> Column:
-        return F.least(F.log2(total * F.col("n") / (F.col(n_term) * F.col("n_entity"))) / F.log2(total / F.col("n_entity")), F.lit(1.0))
-
-    # Documents with a word near any entity bound those with the word from below, and so its part from above.
-    near = found.where("digest is not null").select(F.explode(F.array_distinct(F.transform(F.flatten("near.words"), lambda t: F.lower(t["value"])))).alias("term"))
-    near = near.groupBy("term").agg(F.count(F.lit(1)).alias("n_near"))
-    met = stored(met.join(entities, "entity").join(near, "term").where((F.col("n_entity") < total) & (part("n_near") >= threshold)), "met")
-    words = met.select("term").distinct()
-    few = words.count() <= BROADCAST_WORDS
-    said = df.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(f"`{text_col}`"), F.lit(TERM), 0))).alias("term"))
-    if few:
-        counts = said.join(F.broadcast(words), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    else:
-        counts = said.groupBy("term").agg(F.count(F.lit(1)).alias("n_term")).join(words, "term", "left_semi")
-    return met.join(counts, "term").select("entity", "term", part("n_term").alias("part")).where(F.col("part") >= threshold)
-
-
-def added_spans(found: DataFrame, told: DataFrame) -> DataFrame:
-    """(digest, added): for each text that has disclosing words, their spans; value is the part disclosed."""
-    texts = found.where("digest is not null").groupBy("digest").agg(F.first("near").alias("near"))
-    near = texts.select("digest", F.explode("near").alias("n")).select("digest", "n.entity", F.explode("n.words").alias("w"))
-    hits = near.withColumn("term", F.lower("w.value")).join(told, ["entity", "term"])
-    spans = hits.groupBy("digest", "w.start", "w.end").agg(F.max("part").alias("part"))
-    span = F.struct(F.col("start"), F.lit(4).alias("ord"), F.col("end"), F.col("part").cast("string").alias("value"))
-    return spans.groupBy("digest").agg(F.sort_array(F.collect_list(span)).cast(SPAN).alias("added"))
+
+    def __init__(self, df: DataFrame, found: DataFrame, text_col: str = "text", threshold: float = THRESHOLD, support: int = SUPPORT):
+        self.df, self.text_col, self.threshold = df, text_col, threshold
+        self.total = F.lit(float(df.count()))
+        with_any = found.where("digest is not null")
+        by_text = stored(with_any.groupBy("digest").agg(F.count(F.lit(1)).alias("rows"), F.first(entities_of(F.col("spans"))).alias("entities")), "texts")
+        each = by_text.select("digest", "rows", F.explode("entities").alias("entity"))
+        known = each.groupBy("entity").agg(F.sum("rows").alias("n_entity"), F.count(F.lit(1)).alias("texts"))
+        known = stored(known.where((F.col("texts") >= support) & (F.col("n_entity") < self.total)).select("entity", "n_entity"), "known")
+        held = stored(each.join(known.hint("merge"), "entity"), "held")
+        self.held = held
+        # The words of the texts that hold a known entity; how many of these texts' rows say each.
+        text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+        busy = held.groupBy("digest").agg(F.max("n_entity").alias("widest"))
+        asked = df.where(text.rlike("[@+0-9]")).select(F.sha2(text, 256).alias("digest"), text.alias("t"))
+        asked = asked.join(busy.hint("merge"), "digest").dropDuplicates(["digest"])
+        words = stored(asked.select("digest", "widest", F.explode(terms_of(F.col("t"))).alias("term")).join(by_text.select("digest", "rows").hint("merge"), "digest"), "words")
+        here = words.groupBy("term").agg(F.sum("rows").alias("n_here"), F.count(F.lit(1)).alias("texts"), F.max("widest").alias("widest"))
+        most = lambda n: F.pow(self.total, F.lit(1 - threshold)) * F.pow(n, F.lit(threshold)) * (1 + 1e-9)
+        rare = stored(here.where((F.col("texts") >= support) & (F.col("n_here") <= most(F.col("widest")))).select("term", "n_here"), "rare")
+        pairs = words.select("digest", "rows", "term").join(rare.hint("merge"), "term").join(held.select("digest", "entity", "n_entity").hint("merge"), "digest").where(F.col("n_here") <= most(F.col("n_entity")))
+        met = pairs.groupBy("entity", "term").agg(F.sum("rows").alias("n"), F.count(F.lit(1)).alias("texts"), F.first("n_entity").alias("n_entity"), F.first("n_here").alias("n_here"))
+        self.met = stored(met.where((F.col("texts") >= support) & (_part(self.total, F.col("n"), F.col("n_here"), F.col("n_entity")) >= threshold)), "met")
+        counts = _said(df, text_col, self.met.select("term").distinct())
+        told = self.met.join(counts.hint("merge"), "term").select("entity", "term", _part(self.total, F.col("n"), F.col("n_term"), F.col("n_entity")).alias("part"))
+        self.told = stored(told.where(F.col("part") >= threshold), "told")
+        self.words = stored(self.told.groupBy("term").agg(F.max("part").alias("part")), "terms")
+
+    def general(self) -> DataFrame:
+        """(term, instead): the longest prefix that discloses none of the word's entities, with a star, or nothing."""
+        text = F.coalesce(F.col(f"`{self.text_col}`"), F.lit(""))
+        cut = lambda t: F.array_distinct(F.flatten(F.transform(t, lambda w: F.array(*(F.concat(F.left(w, F.lit(k)), F.lit("*")) for k in PREFIXES)))))
+        cases = self.told.select("entity", "term", F.explode(F.array(*(F.struct(F.lit(k).alias("k"), F.concat(F.left("term", F.lit(k)), F.lit("*")).alias("prefix")) for k in PREFIXES if k))).alias("p")).select("entity", "term", "p.k", "p.prefix").where(F.length("term") > F.col("k"))
+        wanted = stored(cases.select(F.col("prefix").alias("term")).distinct(), "prefixes")
+        counts = _said(self.df, self.text_col, wanted, cut)
+        # Documents with an entity and a word of the prefix: among the texts that hold the entity.
+        busy = self.held.join(self.told.select("entity").distinct().hint("merge"), "entity", "left_semi")
+        asked = self.df.where(text.rlike("[@+0-9]")).select(F.sha2(text, 256).alias("digest"), text.alias("t")).join(busy.select("digest").distinct().hint("merge"), "digest").dropDuplicates(["digest"])
+        said = asked.select("digest", F.explode(cut(terms_of(F.col("t")))).alias("prefix")).join(wanted.withColumnRenamed("term", "prefix").hint("merge"), "prefix")
+        both = said.join(busy.hint("merge"), "digest").groupBy("entity", "prefix").agg(F.sum("rows").alias("n"), F.first("n_entity").alias("n_entity"))
+        judged = cases.join(both.hint("merge"), ["entity", "prefix"]).join(counts.withColumnRenamed("term", "prefix").hint("merge"), "prefix")
+        judged = judged.withColumn("safe", _part(self.total, F.col("n"), F.col("n_term"), F.col("n_entity")) < self.threshold)
+        safe = judged.groupBy("term", "k", "prefix").agg(F.min("safe").alias("safe")).where("safe").groupBy("term").agg(F.max_by("prefix", "k").alias("instead"))
+        return stored(self.words.select("term").join(safe.hint("merge"), "term", "left").withColumn("instead", F.coalesce("instead", F.lit(""))), "general")
+
+
+def _literal(words: DataFrame) -> list[str] | None:
+    """The words, if they are few enough to go to the scan as literals."""
+    found = [r.term for r in words.select("term").limit(LITERAL_WORDS + 1).collect()]
+    return found if len(found) <= LITERAL_WORDS else None
+
+
+def term_spans(df: DataFrame, words: DataFrame) -> DataFrame:
+    """``df`` (with ``_text``) and ``added``: the spans of ``words.term`` in each text."""
+    few = _literal(words)
+    if few is not None:
+        if not few:
+            return df.withColumn("added", _none())
+        told = lambda w: F.lower(w).isin(few)
+        masked = _masked(F.col("_text"))
+        any_told = F.exists(F.regexp_extract_all(masked, F.lit(TERM), 0), told)
+        return df.withColumn("added", F.when(any_told, F.filter(_matches(masked, TERM, 4), lambda s: told(s["value"]))).otherwise(_none()))
+    keyed = df.withColumn("_digest", F.sha2("_text", 256))
+    hits = keyed.dropDuplicates(["_digest"]).select("_digest", F.explode(terms_of(F.col("_text"))).alias("term")).join(words.select("term").hint("merge"), "term", "left_semi")
+    own = hits.groupBy("_digest").agg(F.collect_set("term").alias("_told"))
+    both = keyed.join(own.hint("merge"), "_digest", "left").drop("_digest")
+    some = F.filter(_matches(_masked(F.col("_text")), TERM, 4), lambda s: F.array_contains("_told", F.lower(s["value"])))
+    return both.withColumn("added", F.when(F.col("_told").isNotNull(), some).otherwise(_none())).drop("_told")
 
 
 def find_personal_data(df: DataFrame, text_col: str = "text", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``carry``, the base ``spans`` and the ``added`` spans of disclosing words (empty arrays if none)."""
     found = stored(marked(df, text_col, carry), "found")
-    added = added_spans(found, stored(disclosures(df, found, text_col), "told"))
-    key = F.coalesce("digest", F.concat(F.lit("-"), F.rand(0).cast("string")))  # spreads the rows without spans
-    rows = found.drop("near").withColumn("_key", key).join(added.withColumnRenamed("digest", "_key").hint("merge"), "_key", "left")
-    return rows.select(*carry, "spans", F.coalesce("added", _none()).alias("added"))
+    words = Disclosures(df, found, text_col).words
+    own = df.select(*(F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(carry)), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_text"))
+    rows = term_spans(own.withColumn("spans", base_spans(F.col("_text"))), words)
+    return rows.select(*(F.col(f"_c{i}").alias(c) for i, c in enumerate(carry)), "spans", "added")
 
 
-def _replaced(text: Column, spans: Column) -> Column:
-    """The text with labels in place of spans; of overlapping spans the first names the label."""
-    labels = F.array(*map(F.lit, LABELS))
+def _replaced(text: Column, spans: Column, instead) -> Column:
+    """The text with ``instead(span)`` in place of spans; of overlapping spans the first says what stands there."""
+    kind = "struct<from:int,to:int,then:string>"
 
-    def step(a: Column, s: Column) -> Column:
-        label = F.when((s["ord"] == 4) & (s["value"].cast("double") >= 1), F.lit("")).otherwise(F.element_at(labels, s["ord"] + 1))
-        gap = F.substring(text, a["pos"] + 1, s["start"] - a["pos"])
-        out = F.when(s["start"] >= a["pos"], F.concat(a["out"], gap, label)).otherwise(a["out"])
-        return F.struct(F.greatest(a["pos"], s["end"]).alias("pos"), out.alias("out"))
+    def step(a: Column, s: Column) -> tuple[dict[str, Column], Column]:
+        piece = F.struct(a["pos"].alias("from"), s["start"].alias("to"), instead(s).alias("then"))
+        return {"pos": F.greatest(a["pos"], s["end"])}, F.when(s["start"] >= a["pos"], F.array(piece)).otherwise(F.array().cast(f"array<{kind}>"))
 
-    zero = F.struct(F.lit(0).alias("pos"), F.lit("").alias("out"))
-    rest = lambda a: F.concat(a["out"], F.substring(text, a["pos"] + 1, F.length(text)))
-    return F.aggregate(spans, zero, step, rest)
+    def cut(every: Column) -> Column:
+        last = F.struct(F.coalesce(F.array_max(F.transform(every, lambda s: s["end"])), F.lit(0)).alias("from"), F.length(text).alias("to"), F.lit("").alias("then"))
+        return F.concat(emitted(every, {"pos": F.lit(0)}, kind, step), F.array(last.cast(kind)))
 
+    def joined(cuts: Column) -> Column:
+        # A text with many spans is taken apart once, as each substring walks it from the start.
+        near = F.array_join(F.transform(cuts, lambda c: F.concat(F.substring(text, c["from"] + 1, c["to"] - c["from"]), c["then"])), "")
+        far = let(F.split(text, ""), lambda chars: F.array_join(F.transform(cuts, lambda c: F.concat(F.array_join(F.slice(chars, c["from"] + 1, c["to"] - c["from"]), ""), c["then"])), ""))
+        return F.when(F.size(cuts) <= 64, near).otherwise(far)
 
-def sanitise(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """``df`` with base spans replaced by labels and disclosing words generalised, or removed where they tell all.
+    return let(let(spans, cut), joined)
 
-    Texts without any at sign, plus sign or digit pass by; only the others are shuffled, by digest.
-    """
+
+def sanitise(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """``df`` with base spans replaced by labels, and disclosing words generalised, or removed where no class of words is safe."""
     found = stored(where_settled(marked(df, text_col, ()), "digest is not null"), "found")
-    added = stored(added_spans(found, stored(disclosures(df, found, text_col), "told")), "added")
+    about = Disclosures(df, found, text_col)
     row = F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_row")
-    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    may = text.rlike("[@+0-9]")
-    packed = df.where(may).select(row, text.alias("_text")).withColumn("_spans", base_spans(F.col("_text")))
-    keyed = packed.withColumn("_key", F.sha2("_text", 256)).join(added.withColumnRenamed("digest", "_key").hint("merge"), "_key", "left")
-    both = F.sort_array(F.concat("_spans", F.coalesce("added", _none())))
-    clean = keyed.withColumn("_both", both).withColumn("_new", F.when(F.size("_both") > 0, _replaced(F.col("_text"), F.col("_both"))).otherwise(F.col(f"_row.`{text_col}`")))
-    fields = [F.col("_new").alias(c) if c == text_col else F.col(f"_row.`{c}`").alias(c) for c in df.columns]
-    return df.where(~may).unionByName(clean.select(*fields))
+    packed = df.select(row, F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_text")).withColumn("_spans", base_spans(F.col("_text")))
+    rows = term_spans(packed, about.words)
+    labels = F.array(*map(F.lit, LABELS))
+    few = about.general().limit(LITERAL_WORDS + 1).collect() if not about.words.isEmpty() else []
+    if len(few) <= LITERAL_WORDS:
+        table = F.create_map(*(F.lit(x) for r in few for x in (r.term, r.instead))) if few else None
+        general = (lambda s: F.coalesce(F.try_element_at(table, F.lower(s["value"])), F.lit(""))) if few else (lambda s: F.lit(""))
+    else:  # too many to carry: the shortest class
+        general = lambda s: F.concat(F.left(F.lower(s["value"]), F.lit(PREFIXES[-1])), F.lit("*"))
+    both = F.sort_array(F.concat("_spans", "added"))
+    new = F.when(F.size("_spans") + F.size("added") > 0, _replaced(F.col("_text"), F.col("_both"), lambda s: F.when(s["ord"] == 4, general(s)).otherwise(F.get(labels, s["ord"])))).otherwise(F.col(f"_row.`{text_col}`"))
+    clean = rows.withColumn("_both", both).withColumn("_new", new)
+    return clean.select(*(F.col("_new").alias(c) if c == text_col else F.col(f"_row.`{c}`").alias(c) for c in df.columns))
 
 
 def query(df: DataFrame) -> DataFrame:
@@ -236,30 +296,29 @@ def _oracle() -> str:
     }
     kinds = " union all ".join(f"select r, {k} as ord, start, stop, value from ({found('d', 'text', 'r', plain[n], 'zero')}) where {valid[n]}" for k, n in enumerate(KINDS[:4]))
     words = r"\p{L}[\p{L}\p{M}]{2,}"
-    side = lambda w, cut: f"select r, s, entity, start, stop, lower(value) as term from ({found(w, 'piece', 'r, s, entity, edge', words, 'off')}) where {cut}"
-    part = lambda n: f"least(log2(total::double * n / ({n} * n_entity)) / log2(total::double / n_entity), 1.0)"
+    email = quote(plain["email"])
+    blank = f"""array_to_string(list_transform(range(len(string_split_regex(text, {email}))), lambda i: string_split_regex(text, {email})[i + 1] || coalesce(repeat(' ', length(regexp_extract_all(text, {email})[i + 1])), '')), '')"""
+    part = "least(log2(total::double * n / (n_term * n_entity)) / log2(total::double / n_entity), 1.0)"
     count = lambda k: f"count_if(ord = {k})::bigint as n_{KINDS[k]}"
+    names = "[" + ", ".join(map(quote, KINDS)) + "]"
     return rf"""
 with d as (select row_number() over () as r, doc_id, coalesce(text, '') as text, 0 as zero from documents),
 base as ({kinds}),
-ent as (select base.*, row_number() over () as s, ord || ':' || lower(value) as entity from base),
-win as (select ent.r, s, entity, greatest(start - {REACH}, 0) as off, greatest(start - {REACH}, 0) as edge, substr(text, (greatest(start - {REACH}, 0) + 1)::bigint, (start - greatest(start - {REACH}, 0))::bigint) as piece from ent join d using (r)),
-wan as (select ent.r, s, entity, stop as off, stop + {REACH} as edge, substr(text, (stop + 1)::bigint, {REACH}) as piece from ent join d using (r)),
-near0 as ({side('win', 'start > edge or edge = 0')} union all {side('wan', 'stop < edge')}),
-near as (select * from near0 n where not exists (select 1 from base b where b.r = n.r and b.start < n.stop and n.start < b.stop)),
-row_terms as (select distinct n.r, n.entity, term, sha256(text) as h from near n join d using (r)),
-met as (select entity, term, count(*) as n, count(distinct h) as texts from row_terms group by all having count(distinct h) >= {SUPPORT}),
-ne as (select entity, count(distinct r) as n_entity from ent group by entity),
-said as (select r, unnest(list_distinct(regexp_extract_all(lower(text), '{words}'))) as term from d),
-nt as (select term, count(*) as n_term from said where term in (select term from met) group by term),
+masked as (select r, zero, {blank} as text from d),
+spoken as (select r, start, stop, lower(value) as term from ({found('masked', 'text', 'r', words, 'zero')})),
+said as (select distinct r, term from spoken),
+ent as (select distinct r, ord || ':' || lower(value) as entity from base),
+ne as (select entity, count(*) as n_entity from ent group by entity),
+met as (select entity, term, count(*) as n from ent join said using (r) join d using (r) group by all having count(distinct text) >= {SUPPORT}),
+nt as (select term, count(*) as n_term from said group by term),
 tot as (select count(*) as total from d),
-told as (select entity, term, {part('n_term')} as part from met join ne using (entity) join nt using (term), tot where n_entity < total and {part('n_term')} >= {THRESHOLD}),
-added as (select distinct r, 4 as ord, start, stop from near join told using (entity, term)),
+told as (select distinct term from met join ne using (entity) join nt using (term), tot where n_entity < total and {part} >= {THRESHOLD}),
+added as (select r, 4 as ord, start, stop from spoken join told using (term)),
 every as (select r, ord, start, stop from base union all select * from added),
-agg as (select r, {', '.join(count(k) for k in range(5))}, string_agg(({KINDS!r}::varchar[])[ord + 1] || ':' || start || ':' || stop, ',' order by start, ord) as spans,
-  string_agg(({KINDS!r}::varchar[])[ord + 1] || ':' || start || ':' || stop, ',' order by start, ord) filter (where ord < 4) as base from every group by r)
+agg as (select r, {', '.join(count(k) for k in range(5))}, string_agg({names}[ord + 1] || ':' || start || ':' || stop, ',' order by start, ord) as spans,
+  string_agg({names}[ord + 1] || ':' || start || ':' || stop, ',' order by start, ord) filter (where ord < 4) as base from every group by r)
 select doc_id, {', '.join(f'coalesce(n_{k}, 0) as n_{k}' for k in KINDS)}, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans from d left join agg using (r)
-""".replace(f"{KINDS!r}::varchar[]", "[" + ", ".join(map(quote, KINDS)) + "]")
+"""
 
 
 #: DuckDB SQL for ``query(documents)``.

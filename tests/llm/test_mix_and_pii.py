@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import duckdb
 from pyspark.sql import functions as F
@@ -60,11 +61,19 @@ def test_targets_bounds_and_reruns(spark):
     assert pareto_mix.mix(df.limit(0)).count() == 0 and pareto_mix.query(df.limit(0)).count() == 0
 
 
-def test_preference_makes_inclusion_unequal(spark):
-    df = spark.range(4000).selectExpr("id as doc_id", "'one two three' || repeat(' w', int(id % 3)) as text", "if(id % 2 = 0, 'a', 'b') as source")
-    rows = pareto_mix.mixed(df, preference=F.when(F.col("doc_id") % 4 < 2, 5.0).otherwise(1.0)).select("copies", F.col("_row.doc_id").alias("d"), "f").where("f > 0.05 and f < 0.95").collect()
-    share = lambda k: sum(r.copies % 1 if False else r.copies for r in rows if (r.d % 4 < 2) == k) / max(1, sum((r.d % 4 < 2) == k for r in rows))
-    assert share(True) > share(False)
+def test_inclusion_rates_are_those_due(spark):
+    df = spark.range(30_000).selectExpr("id as doc_id", "'one two three' || repeat(' w', int(id % 3)) as text", "if(id % 3 = 0, 'a', 'b') as source")
+    odds = F.when(F.col("doc_id") % 4 == 0, 9).when(F.col("doc_id") % 4 == 1, 3).otherwise(1)
+    rows = pareto_mix.mixed(df, preference=odds).groupBy("source", "preference").agg(F.avg("copies").alias("rate"), F.first("whole").alias("whole"), F.first("f").alias("f"), F.sum("size").alias("words"), F.first("target").alias("target")).collect()
+    assert len({(r.whole, round(r.f, 6)) for r in rows}) >= 4  # unequal
+    for r in rows:
+        assert abs(r.rate - (r.whole + r.f)) < 0.03
+    for s in "ab":
+        due = sum((r.whole + r.f) * r.words for r in rows if r.source == s)
+        assert abs(due / next(r.target for r in rows if r.source == s) - 1) < 1e-9
+    # Copies due are in proportion to the preference below the cap.
+    by = {(r.source, r.preference): r.whole + r.f for r in rows}
+    assert all(abs(by[s, 3] / by[s, 1] - 3) < 1e-6 and by[s, 9] <= 3 + 1e-9 for s in "ab" if by[s, 3] < 3)
 
 
 def luhn(d):
@@ -103,20 +112,43 @@ def test_base_spans_by_brute_force(spark, sf):
 
 
 def test_disclosing_words(spark):
-    rows = [(i, f"number {i} of the reports was sent by Zarquon from jane@corp.example to the office") for i in range(5)]
+    rows = [(i, f"number {i} of the reports was sent by Zarquon from jane@corp.example to the office, {'the office was sent, ' * 20} sent by Zarquon") for i in range(5)]
     rows += [(100 + i, f"the office wrote that number {i} was sent") for i in range(200)]
     rows += [(500 + i, "reports came from afar") for i in range(60)]
     rows += [(999, "Zarquon is far away"), (None, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r for r in pii.query(df).collect()}
-    at = rows[0][1].index("Zarquon")
-    assert f"term:{at}:{at + 7}" in got[0].spans and got[0].n_term == 1 and got[100].spans == "" and got[999].spans == ""
+    at = [m.start() for m in re.finditer("Zarquon", rows[0][1])]
+    assert all(f"term:{a}:{a + 7}" in got[0].spans for a in at) and got[0].n_term == 2 and got[100].spans == "" and got[999].spans == "term:0:7"
     clean = {r.doc_id: r.text for r in pii.sanitise(df).collect()}
-    assert clean[0] == "number 0 of the reports was sent by [TERM] from [EMAIL] to the office"
+    # No class of words is safe, so the word goes, wherever it stands.
+    assert clean[0] == rows[0][1].replace("Zarquon", "").replace("jane@corp.example", "[EMAIL]") and clean[999] == " is far away"
     assert clean[100] == rows[5][1] and clean[None] is None
-    lonely = spark.createDataFrame(rows[:-2], "doc_id long, text string")
-    told = {r.doc_id: r.text for r in pii.sanitise(lonely).collect()}
-    assert told[0] == "number 0 of the reports was sent by  from [EMAIL] to the office"  # it tells all, so it goes
+    # With many other words of its first letters, these letters tell little and may stay.
+    more = df.union(spark.createDataFrame([(2000 + i, "zanzibar wrote to the office") for i in range(80)], df.schema))
+    told = {r.doc_id: r.text for r in pii.sanitise(more).collect()}
+    assert told[999] == "za* is far away" and told[2000] == "zanzibar wrote to the office"
+
+
+def test_many_disclosing_words_are_joined(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choice(("Zarquon", "Omer", "and", "p@q.org", "x@y.net", "of", "the office")) for _ in range(rng.randrange(20)))) for i in range(80)]
+    rows += [(200 + i, "plain words of the office") for i in range(400)] + [rows[3], (900, "of Zarquon"), (901, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(map(str, pii.query(df).collect()))
+    monkeypatch.setattr(pii, "LITERAL_WORDS", 0)
+    monkeypatch.setattr(pii, "BROADCAST_WORDS", 0)
+    assert sorted(map(str, pii.query(df).collect())) == want and any("term" in w for w in want)
+
+
+def test_time_follows_the_number_of_spans(spark):
+    took = []
+    for n in (500, 4000, 8000):
+        df = spark.createDataFrame([(1, " ".join(f"user{i}@example.org" for i in range(n)))], "doc_id long, text string")
+        began = time.perf_counter()
+        assert len(pii.sanitise(df).collect()[0].text) == 8 * n - 1
+        took.append(time.perf_counter() - began)
+    assert took[2] < 3 * took[1] + 2
 
 
 def test_disclosing_words_equal_sql(spark):
