@@ -9,7 +9,7 @@ from docflow.operators import reports, similarity
 from docflow.plans import duck
 from docflow.plans.registry import query
 from docflow.plans.text_queries import ANNOTATED, _translated
-from docflow.sources.md_docs import md_docs
+from docflow.sources.md_docs import md_docs, spread
 
 L = lexicon
 
@@ -240,19 +240,19 @@ def ocr_consensus(spark, sf_dir):
 
 @query()
 def text_similarity(spark, sf_dir):
-    """Each document against its cleaned form; matching blocks run in Python. Texts are whole."""
+    """Each document against a perturbed copy, one without the letter e; matching blocks run in Python. Texts are whole."""
     t = F.col("text")
-    rows = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", t.alias("a"), F.regexp_replace(t, "e", "").alias("b"))
-    return rows.select("item_id", F.round(similarity.text_similarity(F.col("a"), F.col("b")), 6).alias("score"))
+    rows = spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")).select("doc_id", t.alias("a"), F.regexp_replace(t, "e", "").alias("b"))
+    return rows.select("doc_id", F.round(similarity.text_similarity(F.col("a"), F.col("b")), 6).alias("score"))
 
 
 WORDS = "list_distinct(regexp_extract_all({}, '\\S+'))"
 
 
-@query(f"SELECT item_id, round(len(list_intersect({WORDS.format('text')}, {WORDS.format('b')}))::double / len(list_distinct(list_concat({WORDS.format('text')}, {WORDS.format('b')}))), 6) AS score FROM (SELECT *, replace(text, 'the', 'thy') AS b FROM benchmark)")
+@query(f"SELECT doc_id, round(len(list_intersect({WORDS.format('text')}, {WORDS.format('b')}))::double / len(list_distinct(list_concat({WORDS.format('text')}, {WORDS.format('b')}))), 6) AS score FROM (SELECT *, replace(text, 'a', 'o') AS b FROM documents)")
 def jaccard_words(spark, sf_dir):
-    rows = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return rows.select("item_id", F.round(similarity.word_jaccard(F.col("text"), F.replace("text", F.lit("the"), F.lit("thy"))), 6).alias("score"))
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return rows.select("doc_id", F.round(similarity.word_jaccard(F.col("text"), F.replace("text", F.lit("a"), F.lit("o"))), 6).alias("score"))
 
 
 @query("WITH v AS (SELECT label, list_transform(embedding, lambda x: x::double) AS e FROM embeddings), p AS (SELECT label, unnest(range(len(e))) AS i, unnest(list_transform(e, lambda x: x / sqrt(list_dot_product(e, e)))) AS x FROM v), s AS (SELECT label, i, sum(x) AS s, sum(x * x) AS q, count(*) AS n FROM p GROUP BY ALL) SELECT label, round((sum(s * s) - sum(q)) / (max(n) * (max(n) - 1)), 6) AS cosine FROM s GROUP BY label")
