@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["WORD", "WORD_BREAK", "StorageLevel", "forget", "let", "shared_dir", "stored", "table", "where_settled", "words_of"]
+__all__ = ["WORD", "WORD_BREAK", "StorageLevel", "forget", "let", "shared_dir", "stored", "swept", "table", "where_settled", "words_of"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +61,12 @@ def forget(df: DataFrame | None) -> None:
         path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def swept(spark: SparkSession) -> None:
+    """Has the driver collect garbage, so that shuffle files of finished steps go now and not when memory happens to run short."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with value evaluated once for each row, wherever the optimizer moves the expression."""
     return F.element_at(F.transform(F.array(value), body), 1)
