@@ -39,7 +39,7 @@ DEGREE, MEETING, SLOTS, GROUP, TREES, DEPTH = 40, 16, 12, 64, 4, 10
 #: Share of list places that may still change when the graph is done.
 SETTLED = 0.1
 #: Candidates of a search, how many of them expand at once, entry points of either kind, candidates scored in double precision.
-BEAM, WIDTH, ENTRIES, EXACT = 192, 64, 40, 80
+BEAM, WIDTH, ENTRIES, EXACT = 224, 64, 40, 80
 #: Queries that one copy of a node's adjacency serves; hot nodes up to this number (some 12 bytes each) are broadcast.
 CROWD, BROADCAST_HOT = 4096, 500_000
 SAMPLE, SEED, BITS, LOWEST = 20_000, 11, 256, -100
