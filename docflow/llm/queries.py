@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docflow.llm import byte_bpe, html_crf, nn_descent, pareto_mix, pii, pu_quality, quality_rules, simhash, toxic_segments, warc
+from docflow.llm import byte_bpe, fill_middle, html_crf, nn_descent, pareto_mix, pii, pu_quality, quality_rules, simhash, toxic_segments, warc
 from docflow.llm.common import table
 from docflow.runtime import shipped
 
@@ -51,6 +51,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.query(table(spark, sf_dir, "documents"))
 
 
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.query(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {
         "op1_quality_rules": op1_quality_rules,
@@ -63,6 +67,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_nn_descent": op8_nn_descent,
         "op9_toxic_segments": op9_toxic_segments,
         "op10_pii": op10_pii,
+        "op12_fill_middle": op12_fill_middle,
     }
     return {name: shipped(f) for name, f in found.items()}
 
@@ -73,4 +78,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_warc": warc.ORACLE,
         "op6_pareto_mix": pareto_mix.ORACLE,
         "op10_pii": pii.ORACLE,
+        "op12_fill_middle": fill_middle.ORACLE,
     }
