@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docflow.llm import byte_bpe, fill_middle, html_crf, nn_descent, pareto_mix, pii, pu_quality, quality_rules, simhash, toxic_segments, warc
+from docflow.llm import byte_bpe, fill_middle, html_crf, nn_descent, pareto_mix, periodic_runs, pii, pu_quality, quality_rules, simhash, toxic_segments, warc
 from docflow.llm.common import table
 from docflow.runtime import shipped
 
@@ -55,6 +55,10 @@ def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.query(table(spark, sf_dir, "documents"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.query(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {
         "op1_quality_rules": op1_quality_rules,
@@ -68,6 +72,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_toxic_segments": op9_toxic_segments,
         "op10_pii": op10_pii,
         "op12_fill_middle": op12_fill_middle,
+        "op13_periodic_runs": op13_periodic_runs,
     }
     return {name: shipped(f) for name, f in found.items()}
 
