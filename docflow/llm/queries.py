@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docflow.llm import byte_bpe, fill_middle, html_crf, nn_descent, pareto_mix, periodic_runs, pii, pu_quality, quality_rules, simhash, toxic_segments, warc
+from docflow.llm import byte_bpe, fill_middle, html_crf, metric_tree, nn_descent, pareto_mix, periodic_runs, pii, pu_quality, quality_rules, simhash, toxic_segments, warc
 from docflow.llm.common import table
 from docflow.runtime import shipped
 
@@ -51,6 +51,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.query(table(spark, sf_dir, "documents"))
 
 
+def op11_metric_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metric_tree.query(table(spark, sf_dir, "embeddings"))
+
+
 def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.query(table(spark, sf_dir, "documents"))
 
@@ -71,6 +75,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_nn_descent": op8_nn_descent,
         "op9_toxic_segments": op9_toxic_segments,
         "op10_pii": op10_pii,
+        "op11_metric_tree": op11_metric_tree,
         "op12_fill_middle": op12_fill_middle,
         "op13_periodic_runs": op13_periodic_runs,
     }
@@ -83,5 +88,6 @@ def oracle_sql() -> dict[str, str]:
         "op3_warc": warc.ORACLE,
         "op6_pareto_mix": pareto_mix.ORACLE,
         "op10_pii": pii.ORACLE,
+        "op11_metric_tree": metric_tree.ORACLE,
         "op12_fill_middle": fill_middle.ORACLE,
     }
