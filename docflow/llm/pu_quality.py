@@ -2,14 +2,15 @@
 
 Trusted positives are labelled good documents; the unlabelled set is all the web text there is; the class prior is
 estimated from both by the best bin of a first classifier (the least ratio of tail shares, unlabelled to positive,
-with a confidence margin). A linear model over binned text statistics then minimises
+with a confidence margin). That classifier sums the log ratios of bin counts, so every text, positive or unlabelled, is
+scored by exactly the counts of all the others: one text less in each of its bins. No text decides about itself. A linear model over binned text statistics then minimises
 ``prior * risk(P, +) + max(0, risk(U, -) - prior * risk(P, -))`` under the sigmoid loss; where the bracket is
 negative, a step goes the other way. Its margin becomes a probability without negatives too: slope and offset minimise
 the logistic risk of positives and unlabelled texts, which is convex and has the posterior as its minimum.
 
 Statistics of every whole text are computed once and stored. A bounded, hash-drawn sample of the labelled positives
-(``learning.SAMPLE_ROWS``) travels. Every unlabelled text takes part: texts are dealt out by hash in blocks of about ``BLOCK``, a
-task minimises the risk over a block and the positives, and the weights are averaged over blocks, ``MIXES`` times from where
+(``learning.SAMPLE_ROWS``) travels. Every unlabelled text takes part: rows are dealt out by a hash of id and text, so copies
+spread, in blocks of about ``BLOCK``; a task minimises the risk over a block and the positives, and the weights are averaged over blocks, ``MIXES`` times from where
 the last average stands. Tail shares and the last map use counts of margins over all texts, in ``CUTS`` cuts.
 
 Defined results: null and blank texts have all statistics zero and get a score like others; a null id is not held out
@@ -110,20 +111,19 @@ def _gradient(cells: np.ndarray, pull: np.ndarray, size: int) -> np.ndarray:
     return np.bincount(cells.ravel(), np.repeat(pull, cells.shape[1]), size)
 
 
-def _minimise(positive: np.ndarray, unlabelled: np.ndarray, start: np.ndarray, prior: float | None, rounds: int = 300, rate: float = 0.05, decay: float = 1e-3) -> np.ndarray:
-    """Weights under the non-negative risk; without a prior, positives against unlabelled with the logistic loss."""
+def _minimise(positive: np.ndarray, unlabelled: np.ndarray, start: np.ndarray, prior: float, rounds: int = 300, rate: float = 0.05, decay: float = 1e-3, smooth: float = 1e-2) -> np.ndarray:
+    """Weights under the non-negative risk, drawn to zero by ``decay`` and to those of the bins beside them by ``smooth``."""
     w, size = start.copy(), len(start)
     m, v = np.zeros(size), np.zeros(size)
     for t in range(1, rounds + 1):
         gp, gu = w[positive].sum(1), w[unlabelled].sum(1)
-        if prior is None:
-            g = _gradient(positive, (sigmoid(gp) - 1) / len(gp), size) + _gradient(unlabelled, sigmoid(gu) / len(gu), size)
-        else:
-            sp, su = sigmoid(gp), sigmoid(gu)  # the loss of x as negative; 1 - sigmoid as positive
-            up = _gradient(positive, -sp * (1 - sp) / len(gp), size) * prior
-            rest = _gradient(unlabelled, su * (1 - su) / len(gu), size) - prior * _gradient(positive, sp * (1 - sp) / len(gp), size)
-            g = up + rest if su.mean() - prior * sp.mean() >= 0 else -rest
-        g += decay * w
+        sp, su = sigmoid(gp), sigmoid(gu)  # the loss of x as negative; 1 - sigmoid as positive
+        up = _gradient(positive, -sp * (1 - sp) / len(gp), size) * prior
+        rest = _gradient(unlabelled, su * (1 - su) / len(gu), size) - prior * _gradient(positive, sp * (1 - sp) / len(gp), size)
+        g = up + rest if su.mean() - prior * sp.mean() >= 0 else -rest
+        steps = smooth * np.diff(w.reshape(-1, BINS), axis=1, prepend=0, append=0)
+        steps[:, [0, -1]] = 0
+        g += decay * w - np.diff(steps, axis=1).ravel()
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         w -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
     return w
@@ -142,14 +142,30 @@ def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, confidence: flo
     return float(np.clip(u[best] / p[best], 0.05, 0.98))
 
 
+def left_out_weights(positive: np.ndarray, unlabelled: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log ratios of bin counts (statistic x bin) for positives and for unlabelled texts, each without the text itself.
+
+    A text counts half for its own bin and a quarter for each bin beside it; at the ends three quarters and one.
+    """
+    own = np.full(positive.shape[1], 0.5)
+    own[[0, -1]] = 0.75
+
+    def share(n: np.ndarray, without: bool) -> np.ndarray:
+        wide = np.pad(n, ((0, 0), (1, 1)), mode="edge")
+        spread = (wide[:, :-2] + 2 * wide[:, 1:-1] + wide[:, 2:]) / 4 - own * without
+        return np.log((np.maximum(spread, 0) + 1) / (n.sum(1, keepdims=True) - without + n.shape[1]))
+
+    return (share(positive, True) - share(unlabelled, False)).ravel(), (share(positive, False) - share(unlabelled, True)).ravel()
+
+
 def posterior_map(at: np.ndarray, positive: np.ndarray, unlabelled: np.ndarray, prior: float, rounds: int = 100) -> tuple[float, float]:
-    """Slope and offset that minimise the logistic risk, from counts of margins ``at`` among positives and unlabelled."""
+    """Slope and offset that minimise the (slightly ridged) logistic risk, from counts of margins ``at`` among positives and unlabelled."""
     p, u = positive / positive.sum(), unlabelled / unlabelled.sum()
     z, w = np.stack([at, np.ones_like(at)], 1), np.array([1.0, 0.0])
     for _ in range(rounds):
         s = sigmoid(z @ w)
-        g = z.T @ (u * s - prior * p) + 1e-6 * w
-        h = (z * (u * s * (1 - s))[:, None]).T @ z + 1e-6 * np.eye(2)
+        g = z.T @ (u * s - prior * p) + 3e-3 * w
+        h = (z * (u * s * (1 - s))[:, None]).T @ z + 3e-3 * np.eye(2)
         step = np.clip(np.linalg.solve(h, g), -1, 1)
         w -= step
         if np.abs(step).max() < 1e-9:
@@ -167,19 +183,23 @@ def fit(positive: np.ndarray, blocks, counted) -> Model:
     edges = np.sort(np.quantile(positive, LEVELS, axis=0).T, axis=1)
     p = _cells(positive, edges)
 
-    def both(w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        low, high = w.reshape(len(edges), BINS).min(1).sum(), w.reshape(len(edges), BINS).max(1).sum()
-        cuts = np.linspace(low, high + 1e-9, CUTS + 1)
-        own = np.bincount(np.clip(np.searchsorted(cuts, w[p].sum(1), side="right") - 1, 0, CUTS - 1), minlength=CUTS)
-        return (cuts[1:] + cuts[:-1]) / 2, own, counted(edges, w, cuts)
-
-    zero = np.zeros(edges.shape[0] * BINS)
-    _, own, others = both(blocks(edges, zero, None))
+    def both(wp: np.ndarray, wu: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Counts of the positives' margins under wp and of the unlabelled ones under wu."""
+        by = np.stack([wp, wu]).reshape(2, len(edges), BINS)
+        cuts = np.linspace(by.min(2).sum(1).min(), by.max(2).sum(1).max() + 1e-9, CUTS + 1)
+        own = np.bincount(np.clip(np.searchsorted(cuts, wp[p].sum(1), side="right") - 1, 0, CUTS - 1), minlength=CUTS)
+        return (cuts[1:] + cuts[:-1]) / 2, own, counted(edges, wu, cuts)
+
+    size = len(edges) * BINS
+    bins = lambda j: np.where(np.arange(size) // BINS == j, np.arange(size) % BINS, 0).astype(float)
+    there = np.stack([counted(edges, bins(j), np.arange(BINS + 1) - 0.5)[:BINS] for j in range(len(edges))])
+    wp, wu = left_out_weights(np.bincount(p.ravel(), minlength=size).reshape(len(edges), BINS), there)
+    _, own, others = both(wp, wu)
     prior = estimate_prior(own, others)
-    weights = zero
+    weights = np.zeros(size)
     for _ in range(MIXES):
         weights = blocks(edges, weights, prior)
-    at, own, others = both(weights)
+    at, own, others = both(weights, weights)
     slope, offset = posterior_map(at, own, others, prior)
     return Model(edges, weights, slope, offset, prior)
 
@@ -188,7 +208,7 @@ def _stats(b: pa.RecordBatch, column: str = "stats") -> np.ndarray:
     return b.column(column).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, len(NAMES))
 
 
-def _mixed(rows: Iterator[pa.RecordBatch], positive: np.ndarray, edges: np.ndarray, start: np.ndarray, prior: float | None) -> Iterator[pa.RecordBatch]:
+def _mixed(rows: Iterator[pa.RecordBatch], positive: np.ndarray, edges: np.ndarray, start: np.ndarray, prior: float) -> Iterator[pa.RecordBatch]:
     """Rows (block, h, stats) by block and h to (at, sum, n): weights minimised over each block, times its texts."""
     p, held = _cells(positive, edges), []
 
@@ -218,11 +238,12 @@ def train(stats: DataFrame, labels: DataFrame, label_col: str = "quality") -> Mo
     positive = np.array(sample.column("stats").to_pylist(), np.float64).reshape(-1, len(NAMES))
     if not len(positive):
         return None
+    positive = positive[np.lexsort(positive.T)]  # one order of sums, however rows arrive
     total = stats.count()
-    block = F.pmod(F.xxhash64("h", F.lit(23)), F.lit(-(-total // BLOCK)))
+    block = F.pmod(F.xxhash64("h", "id", F.lit(23)), F.lit(-(-total // BLOCK)))
     dealt = stored(stats.select(block.alias("block"), "h", "stats").repartition("block").sortWithinPartitions("block", "h"), "blocks")
 
-    def blocks(edges: np.ndarray, start: np.ndarray, prior: float | None) -> np.ndarray:
+    def blocks(edges: np.ndarray, start: np.ndarray, prior: float) -> np.ndarray:
         rows = dealt.select("block", "stats").mapInArrow(lambda b: _mixed(b, positive, edges, start, prior), "at int, w double, n long")
         found = rows.groupBy("at").agg((F.sum("w") / F.sum("n")).alias("w")).orderBy("at").toArrow()
         return found.column("w").to_numpy().copy()
