@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from docflow.operators import metrics
+from docflow.operators import counters, metrics
 from docflow.operators.statsd import RULES
 from docflow.plans.registry import query
 
@@ -106,6 +106,53 @@ def resource_usage(spark, sf_dir):
     return used.join(limit, ["host", "hour"]).select("host", F.col("hour").cast("timestamp_ntz").alias("hour"), F.round(F.col("used") / F.col("lim") * 100, 6).alias("pct"))
 
 
+LIFETIME, RANGE, STEP = 86_400, 21_600, 3_600
+
+
+def _counter_sql(by: str, rows: str = "events") -> str:
+    """CTEs up to ``r``: rates of the counts of rows by series, from differences to the sample before in the whole series."""
+    return f"""s AS (SELECT {by} AS series, epoch_us(ts) AS t, event_id AS eid, row_number() OVER (PARTITION BY {by}, epoch_us(ts) // {LIFETIME * 1_000_000} ORDER BY ts, event_id)::double AS v FROM {rows}),
+    d AS (SELECT *, lag(v) OVER (PARTITION BY series ORDER BY t, eid) AS b FROM s),
+    g AS (SELECT *, CASE WHEN v < b THEN v ELSE v - b END AS grown, (v < b)::bigint AS reset FROM d),
+    w AS (SELECT *, (t // {STEP * 1_000_000} - k) * {STEP * 1_000_000} AS start FROM g, (SELECT unnest(range({RANGE // STEP})) AS k)),
+    a AS (SELECT series, start, count(*) AS n, min(t) / 1e6 AS t0, max(t) / 1e6 AS t1, arg_min(v, (t, eid)) AS v0,
+            coalesce(sum(grown), 0) - coalesce(arg_min(coalesce(grown, 0), (t, eid)), 0) AS inc, coalesce(sum(reset), 0) - coalesce(arg_min(coalesce(reset, 0), (t, eid)), 0) AS resets FROM w GROUP BY ALL),
+    e AS (SELECT *, t1 - t0 AS span, (t1 - t0) / (n - 1) AS mean, t0 - start / 1e6 AS f, start / 1e6 + {RANGE} - t1 AS l FROM a WHERE n > 1 AND t1 > t0),
+    x AS (SELECT *, CASE WHEN f >= mean * 1.1 THEN mean / 2 ELSE f END AS front, CASE WHEN l >= mean * 1.1 THEN mean / 2 ELSE l END AS back, CASE WHEN inc > 0 THEN span * v0 / inc END AS zero FROM e),
+    r AS (SELECT series, make_timestamp(start) AS window_start, n::bigint AS samples, resets::bigint AS resets, inc * (span + least(front, zero) + back) / span AS increase FROM x)"""
+
+
+@query(f"WITH {_counter_sql('event_type')} SELECT series AS stage, window_start, samples, resets, round(increase, 6) AS increase, round(increase / {RANGE}, 9) AS per_second FROM r")
+def counter_rate(spark, sf_dir):
+    """Rates of request counters that restart every day, carried to the edges of windows."""
+    r = counters.rates(counters.samples(_events(spark, sf_dir), ["stage"], LIFETIME), ["stage"], RANGE, STEP)
+    return r.where("increase is not null").withColumns({"increase": F.round("increase", 6), "per_second": F.round("per_second", 9)})
+
+
+@query(
+    f"WITH {_counter_sql('event_type <> ' + chr(39) + 'error' + chr(39))}, p AS (SELECT window_start, sum(increase) AS total, sum(increase) FILTER (WHERE series) AS ok FROM r GROUP BY window_start) "
+    "SELECT window_start, round(coalesce(ok, 0) / total * 100, 6) AS success_pct FROM p WHERE total > 0"
+)
+def counter_success_rate(spark, sf_dir):
+    """The rate of the counter of successes over that of both counters."""
+    r = counters.rates(counters.samples(_events(spark, sf_dir), ["success"], LIFETIME), ["success"], RANGE, STEP).where("increase is not null")
+    p = r.groupBy("window_start").agg(F.sum("increase").alias("total"), F.sum(F.when(F.col("success"), F.col("increase"))).alias("ok")).where("total > 0")
+    return p.select("window_start", F.round(F.coalesce("ok", F.lit(0.0)) / F.col("total") * 100, 6).alias("success_pct"))
+
+
+ERROR_LABELS = "(SELECT ts, event_id, 'stage' || (user_id % 4) || '/' || CASE WHEN value < 5 THEN 'timeout' WHEN value < 20 THEN 'parse' ELSE 'model' END AS label FROM events WHERE event_type = 'error')"
+
+
+@query(f"WITH {_counter_sql('label', ERROR_LABELS)} SELECT split_part(series, '/', 1) AS stage, split_part(series, '/', 2) AS error_type, window_start, round(increase / {RANGE}, 9) AS per_second FROM r")
+def error_rate_by_stage(spark, sf_dir):
+    """Rates of the error counters of each stage and type of error."""
+    kind = F.when(F.col("value") < 5, "timeout").when(F.col("value") < 20, "parse").otherwise("model")
+    e = spark.read.parquet(f"{sf_dir}/events.parquet").where("event_type = 'error'").select(F.col("ts").cast("timestamp").alias("ts"), "event_id", F.concat(F.lit("stage"), F.col("user_id") % 4).alias("stage"), kind.alias("error_type"))
+    by = ["stage", "error_type"]
+    r = counters.rates(counters.samples(e, by, LIFETIME), by, RANGE, STEP).where("increase is not null")
+    return r.select(*by, "window_start", F.round("per_second", 9).alias("per_second"))
+
+
 NAMES = (
     "CASE event_id % 9 WHEN 0 THEN 'pdf.pipeline.' || event_type || '.duration' WHEN 1 THEN 'pdf.dag.d' || (user_id % 3) || '.' || event_type || '.duration' "
     "WHEN 2 THEN 'pdf.dag.d' || (user_id % 3) || '.tasks.active' WHEN 3 THEN 'pdf.dag.d1.errors.' || event_type WHEN 4 THEN 'vllm.requests.' || event_type WHEN 5 THEN 'vllm.requests.' || event_type || '.duration' "
