@@ -53,10 +53,10 @@ class MdSections:
 
 def register(spark: SparkSession) -> None:
     """Makes seq_ratio, text_similarity, page_ssim, md_lines, chunks and md_sections known to SQL."""
-    from docflow.operators import similarity
+    from docflow.operators import images, similarity
 
     spark.udf.register("seq_ratio", similarity.sequence_ratio)
-    spark.udf.register("page_ssim", similarity.ssim)
+    spark.udf.register("page_ssim", images.ssim)
     for head, body in TABLE_FUNCTIONS.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {head} RETURN {body}")
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {TEXT_SIMILARITY}")

@@ -13,39 +13,46 @@ from pyspark.sql import functions as F
 
 from docflow.functions import scoring, translation
 from docflow.functions.rx import let, strip
-from docflow.operators import adapters, chunking, reports
+from docflow.operators import adapters, calls, chunking, reports
 
 #: Level 2: least likeness, and the share of pages that may differ. Level 5: most issues, least confidence.
 LEAST_LIKENESS, MAY_DIFFER, MOST_ISSUES, LEAST_CONFIDENCE = 0.95, 0.1, 10, 0.7
 
-Model = Callable[[], adapters.TextModel]
+Model = Callable[..., adapters.TextModel]
+
+
+def answers_to(prompts: DataFrame, make: Model, attempts: int, clock: calls.Clock | None) -> DataFrame:
+    """Answers to the column ``_prompt``: in waves with delays by the clock (``make`` gets the attempt's number), or without one at once."""
+    if clock is None:
+        return adapters.answered(prompts, make, "_prompt", attempts=attempts)
+    return calls.outcomes(calls.attempts_of(prompts, make, clock, attempts, prompt_col="_prompt"))
 
 
 # Translation
 
 
-def translate_single(rows: DataFrame, make: Model, source: str, target: str, text_col: str = "text", to: str = "translated", attempts: int = 3) -> DataFrame:
+def translate_single(rows: DataFrame, make: Model, source: str, target: str, text_col: str = "text", to: str = "translated", attempts: int = 3, clock: calls.Clock | None = None) -> DataFrame:
     """``rows`` with the text's translation: blank texts and those the model fails on as they are, others cleaned up."""
     text = F.col(text_col)
     prompt = translation.chat_template(translation.translation_messages(strip(text), F.lit(source), F.lit(target)))
     asked = rows.withColumn("_prompt", F.when(strip(text) != "", prompt))
-    answers = adapters.answered(asked.where("_prompt is not null"), make, "_prompt", attempts=attempts)
+    answers = answers_to(asked.where("_prompt is not null"), make, attempts, clock)
     both = adapters.with_answers(asked, answers, "_prompt")
     return both.withColumn(to, F.when(F.col("answer.ok"), translation.post_process_model(F.col("answer.text"), target)).otherwise(text)).drop("_prompt", "answer")
 
 
-def translate_lines(docs: DataFrame, make: Model, source: str = "zh-CN", target: str = "ru", text_col: str = "text", attempts: int = 3) -> DataFrame:
+def translate_lines(docs: DataFrame, make: Model, source: str = "zh-CN", target: str = "ru", text_col: str = "text", attempts: int = 3, clock: calls.Clock | None = None) -> DataFrame:
     """(doc_id, translated) of (doc_id, text): batches of lines go to the model; where an answer has another number of lines, each goes alone.
 
     Blank lines between batches stay. Batches move on as ``chunking.batch_plan`` has it.
     """
     plan = docs.select("doc_id", F.explode(chunking.batch_plan(F.col(text_col), blanks=True)).alias("b")).select("doc_id", F.col("b.first").alias("first"), F.col("b.lines").alias("lines"))
-    done = translate_single(plan.withColumn("text", F.array_join("lines", "\n")), make, source, target, attempts=attempts)
+    done = translate_single(plan.withColumn("text", F.array_join("lines", "\n")), make, source, target, attempts=attempts, clock=clock)
     parts = F.split("translated", "\n")
     fits = (F.size("lines") == 1) | (F.size(parts) == F.size("lines"))
     whole = done.where(fits).select("doc_id", "first", F.lit(0).alias("at"), F.col("translated").alias("line"))
     alone = done.where(~fits).select("doc_id", "first", F.posexplode("lines").alias("at", "text"))
-    each = translate_single(alone, make, source, target, attempts=attempts).select("doc_id", "first", "at", F.col("translated").alias("line"))
+    each = translate_single(alone, make, source, target, attempts=attempts, clock=clock).select("doc_id", "first", "at", F.col("translated").alias("line"))
     ordered = F.array_sort(F.collect_list(F.struct("first", "at", "line")))
     return whole.union(each).groupBy("doc_id").agg(F.array_join(F.transform(ordered, lambda x: x["line"]), "\n").alias("translated"))
 
@@ -58,14 +65,14 @@ def correction_prompt(text: Column, issues: Column) -> Column:
     return F.concat(F.lit("Edit the Markdown document so that these faults are gone. Keep meaning, terms and commands. Answer with the document only.\n\nFaults:\n"), listed, F.lit("\n\nDocument:\n"), text)
 
 
-def auto_correct(docs: DataFrame, make: Model, attempts: int = 3) -> DataFrame:
+def auto_correct(docs: DataFrame, make: Model, attempts: int = 3, clock: calls.Clock | None = None) -> DataFrame:
     """Level 5 of (doc_id, text, issues): (doc_id, corrections, confidence, corrected, score, issues).
 
     Documents without issues or with more than ``MOST_ISSUES`` are not sent. An answer is taken from ``LEAST_CONFIDENCE`` on.
     """
     n = F.size("issues")
     asked = docs.withColumn("_prompt", F.when((n > 0) & (n <= MOST_ISSUES), correction_prompt(F.col("text"), F.col("issues"))))
-    answers = adapters.answered(asked.where("_prompt is not null"), make, "_prompt", attempts=attempts)
+    answers = answers_to(asked.where("_prompt is not null"), make, attempts, clock)
     both = adapters.with_answers(asked, answers, "_prompt")
     sent = F.col("_prompt").isNotNull()
     trust = F.when(F.col("answer.ok"), scoring.correction_quality(F.col("text"), F.col("answer.text"))).otherwise(0.0)
@@ -86,7 +93,7 @@ def auto_correct(docs: DataFrame, make: Model, attempts: int = 3) -> DataFrame:
 ASKS = {"ocr": "Mend errors of text recognition.", "structure": "Mend headings and their levels.", "translation": "Mend technical terms and commands.", "formatting": "Mend Markdown formatting."}
 
 
-def apply_corrections(docs: DataFrame, make: Model, attempts: int = 3) -> DataFrame:
+def apply_corrections(docs: DataFrame, make: Model, attempts: int = 3, clock: calls.Clock | None = None) -> DataFrame:
     """(doc_id, planned, applied, failed, corrected) of (doc_id, text, plan): the plan's sure entries one after the other, each on the last one's text.
 
     ``plan`` is that of ``reports.planned_corrections``; entries not marked as applied, and those the model fails on, count as
@@ -100,7 +107,7 @@ def apply_corrections(docs: DataFrame, make: Model, attempts: int = 3) -> DataFr
         asked = state.withColumn("_prompt", F.when(F.coalesce(entry["applied"], F.lit(False)), ask))
         if asked.where("_prompt is not null").isEmpty():
             continue
-        both = adapters.with_answers(asked, adapters.answered(asked.where("_prompt is not null"), make, "_prompt", attempts=attempts), "_prompt")
+        both = adapters.with_answers(asked, answers_to(asked.where("_prompt is not null"), make, attempts, clock), "_prompt")
         ok = F.coalesce(F.col("answer.ok"), F.lit(False))
         state = both.withColumns({"_now": F.when(ok, F.col("answer.text")).otherwise(F.col("_now")), "_done": F.col("_done") + ok.cast("int")}).drop("_prompt", "answer")
     n = F.coalesce(F.size("plan"), F.lit(0))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from difflib import SequenceMatcher
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,30 +18,6 @@ def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
-@F.pandas_udf(DoubleType())
-def ssim(a: pd.Series, b: pd.Series, width: pd.Series) -> pd.Series:
-    """Structural similarity of two grey images (bytes, row by row) over windows of 7 by 7; 0 for images that do not fit."""
-
-    def one(x: bytes, y: bytes, w: int) -> float:
-        try:
-            p, q = (np.frombuffer(v, np.uint8).reshape(-1, w).astype(float) for v in (x, y))
-            h = min(len(p), len(q))
-            if h < 7 or w < 7:
-                return 0.0
-            windows = lambda m: np.lib.stride_tricks.sliding_window_view(m[:h], (7, 7))
-            a, b = windows(p), windows(q)
-            n = 49 / 48
-            ma, mb = a.mean((2, 3)), b.mean((2, 3))
-            va, vb = ((a * a).mean((2, 3)) - ma * ma) * n, ((b * b).mean((2, 3)) - mb * mb) * n
-            cov = ((a * b).mean((2, 3)) - ma * mb) * n
-            c1, c2 = (0.01 * 255) ** 2, (0.03 * 255) ** 2
-            return float((((2 * ma * mb + c1) * (2 * cov + c2)) / ((ma * ma + mb * mb + c1) * (va + vb + c2))).mean())
-        except (TypeError, ValueError):
-            return 0.0
-
-    return pd.Series([one(*v) for v in zip(a, b, width, strict=True)], dtype="float64")
-
-
 def word_jaccard(a: Column, b: Column) -> Column:
     words = lambda t: F.array_distinct(F.filter(F.split(t, r"(?U)\s+"), lambda w: w != ""))
     return F.try_divide(F.size(F.array_intersect(words(a), words(b))), F.size(F.array_union(words(a), words(b))))
@@ -82,27 +57,3 @@ def mean_pair_cosine(vectors: DataFrame, by: str, vector: str) -> DataFrame:
     sums = parts.groupBy(by, "i").agg(F.sum("x").alias("s"), F.sum(F.col("x") * F.col("x")).alias("q"), F.count(F.lit(1)).alias("n"))
     out = sums.groupBy(by).agg(F.sum(F.col("s") * F.col("s")).alias("ss"), F.sum("q").alias("q"), F.max("n").alias("n"))
     return out.select(by, F.when(F.col("n") > 1, (F.col("ss") - F.col("q")) / (F.col("n") * (F.col("n") - 1))).otherwise(0.8).alias("cosine"))
-
-
-def difference_regions(before: np.ndarray, after: np.ndarray, tolerance: float = 0.1, least: int = 100) -> list[tuple[int, int, int, int, int, float]]:
-    """(x, y, w, h, area, confidence) of connected regions where two grey images differ by more than the tolerance."""
-    h, w = min(before.shape[0], after.shape[0]), min(before.shape[1], after.shape[1])
-    diff = np.abs(before[:h, :w].astype(int) - after[:h, :w].astype(int))
-    left, out = diff > int(255 * tolerance), []
-    for y0, x0 in zip(*np.nonzero(left), strict=True):
-        if not left[y0, x0]:
-            continue
-        left[y0, x0], queue, seen = False, [(y0, x0)], []
-        while queue:
-            y, x = queue.pop()
-            seen.append((y, x))
-            for a in range(max(0, y - 1), min(h, y + 2)):
-                for b in range(max(0, x - 1), min(w, x + 2)):
-                    if left[a, b]:
-                        left[a, b] = False
-                        queue.append((a, b))
-        if len(seen) >= least:
-            ys, xs = [s[0] for s in seen], [s[1] for s in seen]
-            box = (min(xs), min(ys), max(xs) - min(xs) + 1, max(ys) - min(ys) + 1)
-            out.append((*map(int, box), len(seen), float(diff[box[1] : box[1] + box[3], box[0] : box[0] + box[2]].mean() / 255)))
-    return out

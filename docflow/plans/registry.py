@@ -12,7 +12,7 @@ from docflow.runtime import shipped
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
-MODULES = ("text_queries", "quality_queries", "structure_queries", "document_queries", "metric_queries")
+MODULES = ("text_queries", "quality_queries", "structure_queries", "document_queries", "metric_queries", "image_queries", "model_queries")
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:

@@ -37,3 +37,16 @@ def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkS
         return query(spark, sf_dir)
 
     return run
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept in the folder of ``spark.checkpoint.dir``, which executors share; a local session without it gets its own."""
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if not (spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()):
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="docflow-"))
+    elif not context.getCheckpointDir():
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir"))
+    return df.checkpoint(eager=True)

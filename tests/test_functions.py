@@ -3,7 +3,6 @@
 import difflib
 import random
 
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -146,17 +145,6 @@ def test_text_similarity(spark):
     assert one(spark, similarity.text_similarity(F.col("a"), F.col("b")), a=" ", b=b) == 0
 
 
-def test_ssim_and_regions(spark):
-    rng = np.random.default_rng(0)
-    img = rng.integers(0, 255, (20, 30), dtype=np.uint8)
-    other = img.copy()
-    other[2:14, 3:15] = 255 - other[2:14, 3:15]
-    df = spark.createDataFrame([(bytearray(img.tobytes()), bytearray(img.tobytes()), 30), (bytearray(img.tobytes()), bytearray(other.tobytes()), 30), (bytearray(b"x"), bytearray(b"y"), 30)], "a binary, b binary, w int")
-    got = [r.s for r in df.select(similarity.ssim("a", "b", "w").alias("s")).collect()]
-    assert got[0] == pytest.approx(1) and got[1] < 0.9 and got[2] == 0
-    assert similarity.difference_regions(np.zeros((20, 20), np.uint8), np.pad(np.full((12, 12), 200, np.uint8), 4))[0][:5] == (4, 4, 12, 12, 144)
-
-
 def test_report_profiles(spark):
     rows = [(1, 1, 0.9, ["a"]), (1, 2, None, None), (1, 3, 0.8, ["b", "c"])]
     df = spark.createDataFrame(rows, "doc_id int, level int, score double, issues array<string>")
