@@ -1,21 +1,26 @@
-"""Text and vector likeness. Edit distance and word overlap are native; matching blocks need Python, in Arrow batches."""
+"""Text and vector likeness. Word overlap is native; edit distance and matching blocks of long texts run in Arrow batches."""
 
 from __future__ import annotations
 
-from difflib import SequenceMatcher
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, LongType
 
+from docflow.functions import alike
 from docflow.functions.rx import CJK, strip
 
 
 @F.pandas_udf(DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """The share of matching blocks of two texts."""
-    return pd.Series([SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
+    return pd.Series([alike.block_ratio(x or "", y or "") for x, y in zip(a, b, strict=True)], dtype="float64")
+
+
+@F.pandas_udf(LongType())
+def edit_distance(a: pd.Series, b: pd.Series) -> pd.Series:
+    """The edit distance of two texts of any length; null if one is."""
+    return pd.Series([None if x is None or y is None else alike.edit_distance(x, y) for x, y in zip(a, b, strict=True)], dtype="Int64")
 
 
 def word_jaccard(a: Column, b: Column) -> Column:
@@ -24,7 +29,7 @@ def word_jaccard(a: Column, b: Column) -> Column:
 
 
 def edit_similarity(a: Column, b: Column) -> Column:
-    return 1 - F.try_divide(F.levenshtein(a, b), F.greatest(F.length(a), F.length(b)))
+    return 1 - F.try_divide(edit_distance(a, b), F.greatest(F.length(a), F.length(b)))
 
 
 def cjk_bigrams(text: Column) -> Column:
