@@ -12,17 +12,17 @@ misleading or no names; some pages have neither names nor telling tags, so that
 takes a fixed number of pages and a few seconds on the driver; only the weights (some thousand floats) travel.
 
 Defined results: null or blank html gives empty text; broken markup is read as browsers do, as far as blocks are
-concerned (unclosed tags, stray angle brackets, missing ends); a tag ends before the next angle bracket outside quotes
-and has at most ``PARTS`` quoted and other parts, and an end tag looks ``REACH`` open elements up, so time follows the page's length;
-pages of any length are read whole; repeated rows each get their text; an empty table gives an empty result; other
-columns do not matter.
+concerned (unclosed tags, stray angle brackets, missing ends): a tag ends at the next ``>`` outside quoted values, whatever
+their length, and one without an end hides the rest of the page. Open elements are found by tag, however deep, and only names that
+the model knows are kept for them, so time follows the page's length without bounds on depth or sizes. Pages of any
+length are read whole; repeated rows each get their text; an empty table gives an empty result; other columns do not matter.
 """
 
 from __future__ import annotations
 
 import random
 import re
-from collections.abc import Iterator
+from collections.abc import Container, Iterable, Iterator
 from functools import lru_cache
 from html import unescape
 
@@ -50,8 +50,8 @@ IMPLIED = {
     "option": (("option",), ("select",)),
 }
 CLOSES_P = BLOCK_TAGS - {"button", "label", "option", "optgroup", "body", "html", "head"}
-PARTS, REACH, MOST_FEATURES = 400, 128, 200
-TAG = re.compile(rf"<!--.*?(?:-->|\Z)|<[!?][^<>]*>|<(/?)([A-Za-z][^\s/<>]*)((?:[^<>\"']++|\"[^\"]{{0,65536}}\"|'[^']{{0,65536}}'){{0,{PARTS}}}+|[^<>]*+)>", re.S)
+#: A comment, a declaration, or a tag up to its end; values in quotes may hold anything, an unclosed quote is a character.
+TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"'=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?|[\"'])*+)(?:>|\Z)", re.S)
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 NAME_WORD = re.compile(r"[a-z]+")
 
@@ -61,19 +61,57 @@ class _Open:
 
     __slots__ = ("block", "features", "link", "tag")
 
-    def __init__(self, tag: str, attributes: str, above: _Open | None):
+    def __init__(self, tag: str, attributes: str, above: _Open | None, known: Container[str] | None = None):
         own = {f"in:{tag}"} if tag in BLOCK_TAGS else set()
-        if attributes and above and len(above.features) < MOST_FEATURES:
+        if attributes and above:
             for found in NAMES.finditer(attributes):
-                own.update(f"name:{w}" for w in NAME_WORD.findall((found[1] or found[2] or found[3] or "").lower()))
+                words = (f"name:{w}" for w in NAME_WORD.findall((found[1] or found[2] or found[3] or "").lower()))
+                own.update(words if known is None else (w for w in words if w in known))
         before = above.features if above else frozenset()
-        self.tag, self.link, self.features = tag, tag == "a" or bool(above and above.link), before | own if own - before else before
+        self.tag, self.link, self.features = tag, tag == "a" or bool(above and above.link), before if own <= before else before | own
         self.block = self if above is None or tag in BLOCK_TAGS else above.block
 
 
-def blocks(html: str) -> Iterator[tuple[str, str, frozenset[str], int]]:
-    """(text, tag, ancestor features, characters in links) of each leaf block in page order."""
-    stack = [_Open("", "", None)]
+class _Stack:
+    """The open elements, with the places of each tag's and of the block elements."""
+
+    def __init__(self) -> None:
+        self.all, self.by, self.blocks = [_Open("", "", None)], {}, []
+
+    def push(self, element: _Open) -> None:
+        self.by.setdefault(element.tag, []).append(len(self.all))
+        if element.tag in BLOCK_TAGS:
+            self.blocks.append(len(self.all))
+        self.all.append(element)
+
+    def last(self, tags: Iterable[str]) -> int:
+        """The place of the innermost open one of these; 0 if there is none."""
+        return max((self.by[t][-1] for t in tags if self.by.get(t)), default=0)
+
+    def cut(self, at: int) -> None:
+        """Closes the element at a place and all within it."""
+        while len(self.all) > at:
+            tag = self.all.pop().tag
+            self.by[tag].pop()
+            if tag in BLOCK_TAGS:
+                self.blocks.pop()
+
+    def end(self, tag: str) -> None:
+        """An end tag: an inline one does not close block elements."""
+        at = self.last((tag,))
+        if at and (tag in BLOCK_TAGS or not self.blocks or self.blocks[-1] < at):
+            self.cut(at)
+
+    def close(self, tags: Iterable[str], within: Iterable[str]) -> None:
+        """Closes the innermost of ``tags`` unless one of ``within`` is further in."""
+        at = self.last(tags)
+        if at > self.last(within):
+            self.cut(at)
+
+
+def blocks(html: str, known: Container[str] | None = None) -> Iterator[tuple[str, str, frozenset[str], int]]:
+    """(text, tag, ancestor features, characters in links) of each leaf block in page order; ``known``: the features that matter."""
+    stack = _Stack()
     parts: list[str] = []
     endless: set[str] = set()
     linked = at = 0
@@ -82,7 +120,8 @@ def blocks(html: str) -> Iterator[tuple[str, str, frozenset[str], int]]:
     def flush():
         nonlocal linked
         text = " ".join("".join(parts).split())
-        made = (text, stack[-1].block.tag, stack[-1].features, linked) if text else None
+        top = stack.all[-1]
+        made = (text, top.block.tag, top.features, linked) if text else None
         parts.clear()
         linked = 0
         return made
@@ -94,13 +133,15 @@ def blocks(html: str) -> Iterator[tuple[str, str, frozenset[str], int]]:
             # Character references end with their piece of text.
             piece = html[at:upto]
             parts.append(unescape(piece) if "&" in piece else piece)
-            if stack[-1].link:
+            if stack.all[-1].link:
                 linked += upto - at
         if not found:
             break
         at = found.end()
         if found[2] is None:
             continue
+        if at == end and html[-1] != ">":
+            break
         closing, tag = found[1], found[2].lower()
         if tag == "br":
             parts.append(" ")
@@ -119,31 +160,17 @@ def blocks(html: str) -> Iterator[tuple[str, str, frozenset[str], int]]:
                 break
             continue
         if closing:
-            for k in range(len(stack) - 1, max(0, len(stack) - 1 - REACH), -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
-                if tag not in BLOCK_TAGS and stack[k].tag in BLOCK_TAGS:
-                    break
+            stack.end(tag)
         elif tag not in VOID_TAGS:
             if tag in CLOSES_P:
-                _close(stack, ("p",), ("button", "td", "th", "table"))
+                stack.close(("p",), ("button", "td", "th", "table"))
             if tag in IMPLIED:
-                _close(stack, *IMPLIED[tag])
-            stack.append(_Open(tag, found[3], stack[-1]))
+                stack.close(*IMPLIED[tag])
+            stack.push(_Open(tag, found[3], stack.all[-1], known))
     if parts and (made := flush()):
         yield made
 
 
-def _close(stack: list[_Open], tags: tuple[str, ...], within: tuple[str, ...]) -> None:
-    for k in range(len(stack) - 1, max(0, len(stack) - 1 - REACH), -1):
-        if stack[k].tag in within:
-            return
-        if stack[k].tag in tags:
-            del stack[k:]
-            return
-
-
 def _text_features(text: str, tag: str, linked: int) -> list[str]:
     n, words = len(text), text.count(" ") + 1
     size, links, stop = min(words.bit_length(), 7), min(4, 5 * linked // max(n, 1)), text[-1] in ".!?…。"
@@ -313,8 +340,29 @@ def _plain_body(rng: random.Random) -> list:
     return out
 
 
+def _short_page(rng: random.Random) -> list:
+    """An article of one or two paragraphs with a line or two that are not of it: a footer, comments, an aside, a logo."""
+    box = rng.choice(("article", "article", "main", "div", "section", ""))
+    wraps = rng.choice((0, 0, 0, 1, 2, 5))
+    out: list = ["<body>", "<div>" * wraps]
+    if rng.random() < 0.15:
+        out += [*rng.choice((("<header>", "</header>"), ("<div class=logo>", "</div>"), ("<nav><a href=/>", "</a></nav>")))]
+        out.insert(-1, (_words(rng, rng.randint(1, 4)), 0))
+    out += [f"<{box}>" if box else ""]
+    for _ in range(rng.choice((1, 1, 1, 2))):
+        out += ["<p>", (_prose(rng, rng.choice((10, 16, 25, 45))), 1), "</p>"]
+    out += [f"</{box}>" if box else "", "</div>" * wraps]
+    ends = (("<footer>", "</footer>"), ("<footer><p>", "</p></footer>"), ("<div class=comments><p>", "</p></div>"), ("<section class=comments><p>", "</p></section>"), ("<aside>", "</aside>"), ("<aside><p>", "</p></aside>"), ("<div class=footer>", "</div>"))
+    for first, last in rng.sample(ends, rng.choice((0, 1, 1, 1, 2))):
+        line = _words(rng, rng.randint(1, 6)).rstrip(".,") + rng.choice(("", "", ".", " 2020"))
+        out += [first, (rng.choice(("", "", "Copyright ", "&copy; ")) + line if "footer" in first else line, 0), last]
+    return [*out, "</body>"]
+
+
 def labelled_page(rng: random.Random) -> tuple[str, list[int]]:
     """A page and the labels of its leaf blocks (1: content)."""
+    if rng.random() < 0.15:
+        return _labelled(_short_page(rng))
     if rng.random() < 0.04:
         box = rng.choice(("article", "div", "main", "p", "section"))
         return _labelled([f"<body><{box}><p>", (rng.choice((_words, _prose))(rng, rng.choice((8, 20, 50))), 1), f"</p></{box}></body>"])
@@ -355,9 +403,9 @@ def labelled_pages(n: int, seed: int = 7) -> list[tuple[str, list[int]]]:
 # The chain
 
 
-def block_features(html: str | None) -> list[tuple[str, list[str], frozenset[str]]]:
+def block_features(html: str | None, known: Container[str] | None = None) -> list[tuple[str, list[str], frozenset[str]]]:
     """(text, text features, ancestor features) of each block; the first and last block know that they are."""
-    found = [(text, _text_features(text, tag, linked), above) for text, tag, above, linked in blocks(html or "")]
+    found = [(text, _text_features(text, tag, linked), above) for text, tag, above, linked in blocks(html or "", known)]
     if len(found) == 1:
         found[0][1].append("only")
     elif found:
@@ -399,7 +447,7 @@ class Crf:
         return out[::-1]
 
     def main_text(self, html: str | None) -> str:
-        found = block_features(html)
+        found = block_features(html, self.weights)
         if not found:
             return ""
         return "\n".join(f[0] for f, y in zip(found, self.viterbi(self.emissions(found)), strict=True) if y)
@@ -461,8 +509,8 @@ def train(pages: list[tuple[str, list[int]]], rounds: int = 200, rate: float = 0
 
 @lru_cache(maxsize=1)
 def default_model() -> Crf:
-    """Trained on 600 generated pages; the same each time."""
-    return train(labelled_pages(600), rounds=150)
+    """Trained on 700 generated pages; the same each time."""
+    return train(labelled_pages(700), rounds=150)
 
 
 def extract(df: DataFrame, model: Crf | None = None, html_col: str = "html", carry: tuple[str, ...] = ("page_id", "url")) -> DataFrame:

@@ -64,6 +64,36 @@ def test_text_decides_where_names_do_not(html, text):
     assert html_crf.default_model().main_text(html) == text
 
 
+def wrapped(html, depth):
+    return "<div>" * depth + html + "</div>" * depth
+
+
+SHORT = "The old harbour was rebuilt after the storm. Its walls now hold against the winter tides."
+
+
+@pytest.mark.parametrize("text", [SHORT, "Rain fell on the market all day. Few people came."])
+@pytest.mark.parametrize("box", ["article", "main", "div"])
+@pytest.mark.parametrize("depth", [0, 1, 10, 300])
+def test_short_pages(text, box, depth):
+    read = html_crf.default_model().main_text
+    assert read(f"<body>{wrapped(f'<{box}><p>{text}</p></{box}>', depth)}<footer>Copyright 2020</footer></body>") == text
+    assert read(f"<body>{wrapped(f'<{box}><p>{text}</p></{box}>', depth)}</body>") == text
+    assert read(f"<{box}><p>{text}</p></{box}><div class=comments><p>I disagree.</p></div>") == text
+
+
+def test_markup_without_bounds():
+    read = html_crf.default_model().main_text
+    picture = "data:image/svg+xml," + "<svg x='1'>" * 20_000
+    assert read(f'<article><p>{SHORT}</p><img src="{picture}"><p>{PROSE}</p></article>') == f"{SHORT}\n{PROSE}"
+    assert read(f'<article><p title="{"> " * 100_000}">{SHORT}</p><p>{PROSE}</p></article>') == f"{SHORT}\n{PROSE}"
+    many = [(text, tag, above) for text, tag, above, _ in html_crf.blocks(f"<nav>{'<i>' * 10_000}menu</nav><p>{SHORT}</p>")]
+    assert many == [("menu", "nav", frozenset({"in:nav"})), (SHORT, "p", frozenset({"in:p"}))]
+    names = "".join(f"<div class='{w}'>" for w in sorted({f for f in html_crf.default_model().weights if f.startswith("name:")}) for _ in range(3))
+    assert list(html_crf.blocks(names.replace("name:", "") + "x"))[0][0] == "x"
+    assert [b[0] for b in html_crf.blocks("<p>one<p a='b>c' d=e>two<b <i>x</b> three<p class=\"open>four")] == ["one", "twox three", "four"]
+    assert [b[0] for b in html_crf.blocks("<p>one</p><p>two <b")] == ["one", "two"]
+
+
 def test_pages_without_names():
     """Unseen pages that have no telling name or tag, and what is left elsewhere when names are taken away."""
     model, rng = html_crf.default_model(), random.Random(99)
