@@ -38,9 +38,12 @@ def cjk_bigrams(text: Column) -> Column:
     return F.array_distinct(F.flatten(F.transform(runs, pairs)))
 
 
-def text_similarity(a: Column, b: Column) -> Column:
-    """Weighted edit, word, block and, with source characters, token likeness; 0 for blank texts. Tokens are pairs of characters."""
-    x, y = cjk_bigrams(a), cjk_bigrams(b)
+def text_similarity(a: Column, b: Column, words: tuple[Column, Column] | None = None) -> Column:
+    """Weighted edit, word, block and, with source characters, token likeness; 0 for blank texts.
+
+    Tokens are ``words``, arrays as ``segmentation.segmented`` gives them, or else pairs of characters.
+    """
+    x, y = words or (cjk_bigrams(a), cjk_bigrams(b))
     tokens = F.coalesce(F.try_divide(F.size(F.array_intersect(x, y)), F.size(F.array_union(x, y))), F.lit(0.0))
     e, j, s = edit_similarity(a, b), F.coalesce(word_jaccard(a, b), F.lit(1.0)), sequence_ratio(a, b)
     cjk = F.concat(a, b).rlike(CJK)

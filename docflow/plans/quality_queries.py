@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docflow.functions import lexicon, markdown, scoring, translation
-from docflow.operators import reports, similarity
+from docflow.operators import reports, segmentation, similarity
 from docflow.plans import duck
 from docflow.plans.registry import query
 from docflow.plans.text_queries import ANNOTATED, _translated
@@ -246,6 +246,15 @@ def text_similarity(spark, sf_dir):
     return rows.select("doc_id", F.round(similarity.text_similarity(F.col("a"), F.col("b")), 6).alias("score"))
 
 
+@query()
+def segmented_overlap(spark, sf_dir):
+    """Words of every Markdown document by a lexicon counted from all of them, and what it shares with its translated form."""
+    docs = md_docs(spark, sf_dir)
+    words = segmentation.read_lexicon(segmentation.lexicon_counts(docs, "md"))
+    both = segmentation.segmented(docs.withColumn("other", translation.substitute_terms(F.col("md"))), words, {"md": "x", "other": "y"})
+    return both.select("doc_id", F.size("x").cast("long").alias("n_words"), F.round(segmentation.token_overlap(F.col("x"), F.col("y")), 6).alias("overlap"))
+
+
 WORDS = "list_distinct(regexp_extract_all({}, '\\S+'))"
 
 
