@@ -63,11 +63,55 @@ def flatten_tree(spark: SparkSession, nodes: DataFrame) -> DataFrame:
     return out.select("doc_id", order.alias("position"), "node_id", "title", "level", F.coalesce("child_count", F.lit(0)).cast("long").alias("child_count"))
 
 
+#: Pairs of titles in a document from which pieces of titles are joined instead of the pairs; results are the same.
+MANY_PAIRS = 100_000
+
+
+def _allowed(n: Column, least: float) -> Column:
+    """The edits that a likeness of ``least`` allows, for the longer title's length."""
+    return F.floor((1 - least) * n + 1e-9).cast("int")
+
+
+def _piece_start(n: Column, edits: Column, i: Column) -> Column:
+    """Where piece i of a title of length n begins that is cut evenly into one piece more than edits; the last ones are longer."""
+    size = F.floor(n / (edits + 1)).cast("int")
+    return i * size + F.greatest(F.lit(0), i - ((edits + 1) * (size + 1) - n))
+
+
+def title_pairs(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
+    """Pairs of titles (doc_id, key, rkey) of one document that may be alike, for ``key`` on the left and ``rkey`` on the right; none is missed.
+
+    A title cut into one piece more than edits are allowed has a piece that stays whole, so it is in the other title, moved by no more than
+    the edits before it or after it allow. Titles meet on such pieces, for each pair of lengths, and not on being in one document.
+    """
+    n, m = F.length("key"), F.length("rkey")
+    each = lambda lo, hi, f: F.when(lo <= hi, F.transform(F.sequence(lo, hi), f))
+    cut = lambda t, at, size: F.substring(t, at + 1, size)
+    longest = F.floor(n / least + 1e-9).cast("int")
+    pieces = each(_allowed(n, least), _allowed(longest, least), lambda e: F.transform(F.sequence(F.lit(0), e), lambda i: F.struct(e.alias("e"), i.alias("i"), cut(F.col("key"), _piece_start(n, e, i), _piece_start(n, e, i + 1) - _piece_start(n, e, i)).alias("p"))))
+    own = left.select("doc_id", "key").distinct().select("doc_id", "key", n.alias("n"), F.explode(F.flatten(pieces)).alias("x")).select("doc_id", "key", "n", "x.*")
+
+    def places(k: Column) -> Column:
+        e = _allowed(F.greatest(k, m), least)
+
+        def at(i: Column) -> Column:
+            start, size = _piece_start(k, e, i), _piece_start(k, e, i + 1) - _piece_start(k, e, i)
+            lo = F.greatest(start - i, start + (m - k) - (e - i), F.lit(0))
+            hi = F.least(start + i, start + (m - k) + (e - i), m - size)
+            return F.coalesce(each(lo, hi, lambda p: F.struct(k.alias("n"), e.alias("e"), i.alias("i"), cut(F.col("rkey"), p, size).alias("p"))), F.array())
+
+        return F.flatten(F.transform(F.sequence(F.lit(0), e), at))
+
+    probes = each(F.ceil(m * least - 1e-9).cast("int"), F.floor(m / least + 1e-9).cast("int"), places)
+    other = right.select("doc_id", "rkey").distinct().select("doc_id", "rkey", F.explode(F.flatten(probes)).alias("x")).select("doc_id", "rkey", "x.*").distinct()
+    return own.join(other, ["doc_id", "n", "e", "i", "p"]).select("doc_id", "key", "rkey").distinct()
+
+
 def match_headings(original: DataFrame, result: DataFrame, least: float = 0.8) -> DataFrame:
     """Each original heading with its match: the last of equal titles, else the most alike title (first on ties), else missing.
 
     Both sides have doc_id, pos, title, level. Exact matches are an equi-join; only what is left meets the other side's titles of the
-    same document, and only those whose length allows the likeness.
+    same document, and only those whose length allows the likeness. In documents of very many titles pieces of titles are joined first.
     """
     last = F.max_by(F.struct("title", "level"), "pos").alias("r")
     exact = result.groupBy("doc_id", F.lower("title").alias("key")).agg(last)
@@ -75,7 +119,12 @@ def match_headings(original: DataFrame, result: DataFrame, least: float = 0.8) -
     left = joined.where("r is null").select("doc_id", "pos", "key")
     other = result.select("doc_id", F.col("pos").alias("rpos"), F.lower("title").alias("rkey"), F.struct("title", "level").alias("f"))
     longest = F.greatest(F.length("key"), F.length("rkey"))
-    near = left.join(other, "doc_id").where(F.abs(F.length("key") - F.length("rkey")) <= (1 - least) * longest + 1e-9)
+    sizes = left.groupBy("doc_id").agg(F.count(F.lit(1)).alias("a")).join(other.groupBy("doc_id").agg(F.count(F.lit(1)).alias("b")), "doc_id")
+    large = sizes.where(F.col("a") * F.col("b") > MANY_PAIRS).select("doc_id")
+    few = left.join(large, "doc_id", "left_anti").join(other, "doc_id")
+    pairs = title_pairs(left.join(large, "doc_id", "left_semi"), other.join(large, "doc_id", "left_semi"), least)
+    near = few.unionByName(left.join(pairs, ["doc_id", "key"]).join(other, ["doc_id", "rkey"]).select(*few.columns))
+    near = near.where(F.abs(F.length("key") - F.length("rkey")) <= (1 - least) * longest + 1e-9)
     near = near.withColumn("likeness", 1 - F.levenshtein("key", "rkey") / longest).where(F.col("likeness") >= least)
     best = near.groupBy("doc_id", "pos").agg(F.max(F.struct("likeness", (-F.col("rpos")).alias("order"), "f")).alias("b"))
     out = joined.join(best, ["doc_id", "pos"], "left")
