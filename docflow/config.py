@@ -46,3 +46,6 @@ class Pipeline:
     gates: Gates = field(default_factory=Gates)
     #: Attempts of a model call and the cost limit: a document falls back when more than half of its pieces failed.
     attempts: int = 3
+    #: Levels 2 and 5 of quality too, and level 3's meaning from word vectors that the documents train.
+    correct: bool = False
+    trained_meaning: bool = False

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from docflow.config import Pipeline
 from docflow.functions import markdown, scoring, translation
-from docflow.operators import adapters, chunking, reports
+from docflow.operators import adapters, chunking, flows, images, reports, structure, vectors
+from docflow.runtime import checkpointed
 
 
 def basic(docs: DataFrame) -> DataFrame:
@@ -48,20 +49,52 @@ def translated(docs: DataFrame, language: str) -> DataFrame:
     return docs.withColumn("translated", F.when(F.col("ready"), translation.translate(F.col("final"), language)).otherwise(F.col("final")))
 
 
-def level_rows(docs: DataFrame) -> DataFrame:
-    """(doc_id, level, score, issues) of the levels that texts alone decide."""
+def level_rows(docs: DataFrame, coherence: DataFrame | None = None) -> DataFrame:
+    """(doc_id, level, score, issues) of the levels that texts alone decide; ``coherence`` (doc_id, semantic) takes the place of the rule for meaning."""
     t = F.col("translated")
     d = docs.withColumn("_f", markdown.features(t))
+    meaning = scoring.semantic_fallback(t)
+    if coherence is not None:
+        d, meaning = d.join(coherence, "doc_id", "left"), F.coalesce("semantic", meaning)
     checks = scoring.level4(t, F.col("_f"))
     l4 = sum(checks[1:], checks[0]) / len(checks)
-    l3 = (scoring.structure_score(t, F.col("_f")) + scoring.semantic_fallback(t)) / 2
+    l3 = (scoring.structure_score(t, F.col("_f")) + meaning) / 2
     none = F.array().cast("array<string>")
     entry = lambda n, s: F.struct(F.lit(n).alias("level"), s.alias("score"), F.when(s < 0.8, F.array(F.lit(f"level {n} is low"))).otherwise(none).alias("issues"))
     return d.select("doc_id", F.inline(F.array(entry(1, scoring.ocr_proxy_consensus(t)), entry(3, l3), entry(4, l4))))
 
 
-def run(docs: DataFrame, config: Pipeline | None = None, make: Callable[[], adapters.TextModel] = adapters.EchoModel) -> tuple[DataFrame, DataFrame]:
-    """(documents, reports) of (doc_id, md) rows, both lazy."""
+def all_levels(docs: DataFrame, make: Callable[..., adapters.TextModel], config: Pipeline, pages: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(level rows, corrections): levels 1, 3 and 4, level 2 where there are page images, and level 5, which sees their issues.
+
+    ``pages`` are those of ``images.page_differences``: (doc_id, page, before, before_width, after, after_width).
+    """
+    coherence = None
+    if config.trained_meaning:
+        coherence = vectors.section_coherence(docs, vectors.word_vectors(vectors.sections(docs, "translated")), "translated")
+    rows = level_rows(docs, coherence)
+    if pages is not None:
+        likeness = pages.select("doc_id", images.ssim("before", "after", "before_width", "after_width").alias("ssim"))
+        seen = structure.visual_summary(images.page_differences(pages), likeness)
+        rows = rows.unionByName(flows.visual_level(seen, pages.groupBy("doc_id").agg(F.countDistinct("page").alias("pages"))))
+    issues = rows.groupBy("doc_id").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("level", "issues"))), lambda x: x["issues"])).alias("issues"))
+    told = docs.select("doc_id", F.col("translated").alias("text")).join(issues, "doc_id")
+    corrected = checkpointed(flows.auto_correct(told, make, config.attempts))
+    return rows.unionByName(flows.correction_level(corrected)), corrected
+
+
+def run(docs: DataFrame, config: Pipeline | None = None, make: Callable[[], adapters.TextModel] = adapters.EchoModel, pages: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(documents, reports) of (doc_id, md) rows, both lazy but for ``config.correct``.
+
+    With it, reports have all five levels (the second where ``pages`` are given), and documents ``final_text``,
+    ``pipeline_ready`` and ``corrected``; without it, the levels that texts alone decide.
+    """
     config = config or Pipeline()
     done = translated(gated(enhanced(basic(docs), make, config), config), config.language)
-    return done, reports.qa_report(level_rows(done), available_only=True, gate=config.gates.overall)
+    if not config.correct:
+        return done, reports.qa_report(level_rows(done), available_only=True, gate=config.gates.overall)
+    done = checkpointed(done)  # what follows reads it several times, and models are asked once
+    rows, corrected = all_levels(done, make, config, pages)
+    report = reports.qa_report(rows, available_only=True, gate=config.gates.overall)
+    ends = flows.finished(done.select("doc_id", F.col("translated").alias("text")), report, corrected)
+    return done.join(ends, "doc_id"), report
