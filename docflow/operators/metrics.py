@@ -80,6 +80,20 @@ def relabelled(name: Column) -> Column:
     return F.regexp_replace(name, "^pdf_converter_(.+)", "pdfconv_$1")
 
 
+#: Metrics whose whole name fits get the label with this value, whatever it was.
+LABEL_RULES = (("vllm_.*", "model_architecture", "a3b"), ("vllm_.*", "model_name", "qwen3-30b-a3b-instruct"))
+
+
+def labelled(name: Column, labels: Column, rules: Sequence[tuple[str, str, str]] = LABEL_RULES) -> Column:
+    """A metric's labels after the rules, each on the result of those before; null labels are none."""
+    out = F.coalesce(labels, F.create_map().cast("map<string,string>"))
+    without = lambda m, label: F.map_filter(m, lambda k, _: k != label)
+    for pattern, label, value in rules:
+        put = F.map_concat(without(out, label), F.create_map(F.lit(label), F.lit(value)))
+        out = F.when(name.rlike(f"^(?:{pattern})$"), put).otherwise(out)
+    return out
+
+
 def task_metrics(runs: DataFrame) -> DataFrame:
     """(dag, task, seconds, success, pages) rows to one row for each emitted metric."""
     names = F.array(*(F.struct(F.lit(n).alias("metric"), c.cast("double").alias("value")) for n, c in (("processing_time", F.col("seconds")), ("success", F.col("success").cast("int")), ("pages", F.col("pages")))))

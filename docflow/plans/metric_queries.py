@@ -175,6 +175,18 @@ def statsd_mapping(spark, sf_dir):
     return e.select("x.metric", labels.alias("labels")).groupBy("metric", "labels").agg(F.count(F.lit(1)).alias("n"))
 
 
+SERIES = "CASE event_id % 3 WHEN 0 THEN 'vllm_requests_total' WHEN 1 THEN 'pdf_converter_errors' ELSE 'other_vllm_total' END"
+
+
+@query(f"SELECT metric, CASE WHEN metric = 'vllm_requests_total' THEN 'model_architecture=a3b,model_name=qwen3-30b-a3b-instruct,stage=' || event_type ELSE 'model_name=' || event_type || ',stage=' || event_type END AS labels, count(*)::bigint AS n FROM (SELECT {SERIES} AS metric, event_type FROM events) GROUP BY ALL")
+def labelled_metrics(spark, sf_dir):
+    """Labels that rules put on metrics by name."""
+    e = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.expr(SERIES).alias("metric"), "event_type")
+    labels = metrics.labelled(F.col("metric"), F.create_map(F.lit("stage"), F.col("event_type"), F.lit("model_name"), F.col("event_type")))
+    told = F.array_join(F.transform(F.array_sort(F.map_entries(labels)), lambda p: F.concat(p["key"], F.lit("="), p["value"])), ",")
+    return e.select("metric", told.alias("labels")).groupBy("metric", "labels").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("WITH g AS (SELECT user_id, ts, event_id, CASE WHEN ts - lag(ts) OVER w < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)), s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS sid FROM g) SELECT user_id, min(ts) AS session_start, count(*)::bigint AS n FROM s GROUP BY user_id, sid")
 def session_windows(spark, sf_dir):
     e = _events(spark, sf_dir)
