@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType
 
 from docflow.functions import alike
-from docflow.functions.rx import CJK, strip
+from docflow.functions.rx import CJK, let, strip
 
 
 @F.pandas_udf(DoubleType())
@@ -60,8 +60,8 @@ def mean_pair_cosine(vectors: DataFrame, by: str, vector: str) -> DataFrame:
     With unit vectors u, the sum over pairs is (|sum u|^2 - sum |u|^2) / 2, so one pass over the components does.
     """
     v = F.col(vector)
-    norm = F.sqrt(dot(v, v))
-    parts = vectors.select(by, F.posexplode(F.transform(v, lambda x: F.try_divide(x.cast("double"), norm))).alias("i", "x"))
+    unit = let(F.sqrt(dot(v, v)), lambda norm: F.transform(v, lambda x: F.try_divide(x.cast("double"), norm)))
+    parts = vectors.select(by, F.posexplode(unit).alias("i", "x"))
     sums = parts.groupBy(by, "i").agg(F.sum("x").alias("s"), F.sum(F.col("x") * F.col("x")).alias("q"), F.count(F.lit(1)).alias("n"))
     out = sums.groupBy(by).agg(F.sum(F.col("s") * F.col("s")).alias("ss"), F.sum("q").alias("q"), F.max("n").alias("n"))
     return out.select(by, F.when(F.col("n") > 1, (F.col("ss") - F.col("q")) / (F.col("n") * (F.col("n") - 1))).otherwise(0.8).alias("cosine"))

@@ -5,26 +5,46 @@ vectors of its distinct words, weighted by rarity; a word's vector sums the unit
 words of like company become alike though they never meet, and two aggregations train it all, whatever the corpus. A text's vector
 is the weighted sum of its words' unit vectors, of length one; texts without a known word have none.
 
-Sums are by word or unit, combined before the shuffle, with one column for each dimension; nothing is collected.
+Texts meet words in bins of some ``BIN`` bytes: a text goes to one bin, a word's weight or vector once to each bin that says it, and
+sums within a bin are matrix sums over its pairs of text and word. So what is shuffled follows the distinct words of the bins, no
+pair carries a vector, and no group follows the input, however common a word is. Equal texts are one with a count. Nothing is collected.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docflow.functions.rx import let
 from docflow.operators.similarity import dot, mean_pair_cosine
 
 #: Dimensions of a vector, and ones in an index vector.
 SIZE, ONES = 64, 6
 #: Cosine of documents with fewer than two sections, a fixed value.
 ALONE = 0.8
+#: Bytes of a bin's texts and their vectors, and pairs that are summed at a time.
+BIN, PAIRS = 8 << 20, 1 << 14
+
+
+def _places(word: Column) -> Column:
+    """The places of the word's ones; a minus one at k is -1 - k."""
+
+    def one(k: Column) -> Column:
+        at = F.pmod(F.xxhash64(word, k), F.lit(SIZE)).cast("int")
+        return F.when(F.xxhash64(k, word) < 0, -1 - at).otherwise(at)
+
+    return F.transform(F.sequence(F.lit(0), F.lit(ONES - 1)), one)
 
 
 def index_vector(word: Column) -> Column:
     """The word's own places as an array: plus or minus one for each, added up where two fall together."""
-    places = F.transform(F.sequence(F.lit(0), F.lit(ONES - 1)), lambda k: F.struct(F.pmod(F.xxhash64(word, k), F.lit(SIZE)).alias("at"), F.when(F.xxhash64(k, word) < 0, -1.0).otherwise(1.0).alias("x")))
-    return F.transform(F.sequence(F.lit(0), F.lit(SIZE - 1)), lambda d: F.aggregate(places, F.lit(0.0), lambda a, p: a + F.when(p["at"] == d, p["x"]).otherwise(0.0)))
+    each = lambda places: F.transform(F.sequence(F.lit(0), F.lit(SIZE - 1)), lambda d: F.aggregate(places, F.lit(0.0), lambda a, p: a + F.when(p == d, 1.0).when(p == -1 - d, -1.0).otherwise(0.0)))
+    return let(_places(word), each)
 
 
 def words_of(text: Column) -> Column:
@@ -36,14 +56,81 @@ def _sum(vector: str) -> list[Column]:
     return [F.sum(F.get(F.col(vector), F.lit(d))).alias(f"d{d}") for d in range(SIZE)]
 
 
-
 def _gathered() -> Column:
     return F.array(*(F.col(f"d{d}") for d in range(SIZE)))
 
 
 def _unit(vector: Column) -> Column:
     """The vector at length one; null if it is zero."""
-    return F.transform(vector, lambda x: F.try_divide(x, F.sqrt(dot(vector, vector))))
+    return let(vector, lambda v: let(F.sqrt(dot(v, v)), lambda n: F.transform(v, lambda x: F.try_divide(x, n))))
+
+
+def _known(vector: str) -> Column:
+    return F.exists(vector, lambda x: F.abs(x) > 1e-9)
+
+
+# Bins
+
+
+def _binned(rows: DataFrame, text_col: str) -> DataFrame:
+    """``rows`` with the words ``_w`` of their texts, and the bin; as many bins as the bytes of all rows ask for."""
+    size = rows.select(F.sum(F.coalesce(F.octet_length(text_col), F.lit(0)) + 8 * SIZE)).first()[0] or 0
+    words = rows.withColumn("_w", words_of(F.col(text_col))).where(F.size("_w") > 0)
+    return words.withColumn("_bin", F.pmod(F.xxhash64("_w", *(c for c in rows.columns if c != text_col)), F.lit(size // BIN + 1)))
+
+
+def _in_bins(rows: DataFrame, words: DataFrame, work: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
+    """``work`` for each bin, on its rows and on those of ``words`` that its texts say."""
+    said = rows.select(F.col("_bin").alias("_of"), F.explode("_w").alias("word")).distinct().join(words, "word")
+    return rows.groupBy("_bin").cogroup(said.groupBy("_of")).applyInArrow(work, schema)
+
+
+def _pairs(rows: pa.Table, words: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of a bin's texts and words: number of the row, ascending, and of the word."""
+    lists = rows["_w"].combine_chunks()
+    row = pc.list_parent_indices(lists).to_numpy(zero_copy_only=False)
+    word = pc.fill_null(pc.index_in(pc.list_flatten(lists), value_set=words["word"].combine_chunks()), -1).to_numpy(zero_copy_only=False)
+    return row[word >= 0], word[word >= 0]
+
+
+def _sums(n: int, group: np.ndarray, vectors: Callable[[slice], np.ndarray]) -> np.ndarray:
+    """The sums of the vectors of each of ``n`` groups; ``group`` ascends."""
+    out = np.zeros((n, SIZE))
+    for at in range(0, len(group), PAIRS):
+        part = slice(at, at + PAIRS)
+        heads = np.flatnonzero(np.diff(group[part], prepend=-1))
+        out[group[part][heads]] += np.add.reduceat(vectors(part), heads)
+    return out
+
+
+def _matrix(lists: pa.ChunkedArray) -> np.ndarray:
+    return pc.list_flatten(lists.combine_chunks()).to_numpy(zero_copy_only=False).reshape(-1, SIZE)
+
+
+def _lists(matrix: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(matrix) + 1, dtype=np.int32) * SIZE), pa.array(matrix.ravel()))
+
+
+def _company(rows: pa.Table, words: pa.Table) -> pa.Table:
+    """What a bin adds to its words' vectors: over their texts, the sum of the other words' index vectors, weighted."""
+    row, word = _pairs(rows, words)
+    places = pc.list_flatten(words["places"].combine_chunks()).to_numpy(zero_copy_only=False)
+    own = np.zeros((len(words), SIZE))
+    np.add.at(own, (np.repeat(np.arange(len(words)), ONES), np.where(places < 0, -1 - places, places)), np.where(places < 0, -1.0, 1.0))
+    own *= words["weight"].to_numpy()[:, None]
+    every = _sums(len(rows), row, lambda p: own[word[p]])
+    times = rows["times"].to_numpy().astype(float)
+    order = np.argsort(word, kind="stable")
+    row, word = row[order], word[order]
+    rest = _sums(len(words), word, lambda p: (every[row[p]] - own[word[p]]) * times[row[p], None])
+    return pa.table({"word": words["word"], "weight": words["weight"], "rest": _lists(rest)})
+
+
+def _weighted(rows: pa.Table, words: pa.Table) -> pa.Table:
+    """A bin's rows with the weighted sums of their words' vectors."""
+    row, word = _pairs(rows, words)
+    own = _matrix(words["vector"]) * words["weight"].to_numpy()[:, None]
+    return rows.drop_columns(["_w", "_bin"]).append_column("x", _lists(_sums(len(rows), row, lambda p: own[word[p]])))
 
 
 def word_vectors(units: DataFrame, text_col: str = "text", least: int = 1) -> DataFrame:
@@ -51,26 +138,22 @@ def word_vectors(units: DataFrame, text_col: str = "text", least: int = 1) -> Da
 
     Words of fewer than ``least`` units are left out.
     """
-    # Equal texts have equal company; a hash of the words stands for the unit, so a rerun of a task changes nothing.
-    own = units.select(words_of(F.col(text_col)).alias("w")).select(F.xxhash64("w").alias("_row"), "w").groupBy("_row").agg(F.any_value("w").alias("w"), F.count(F.lit(1)).cast("double").alias("times"))
-    words = own.select("_row", "times", F.explode("w").alias("word"))
-    counts = words.groupBy("word").agg(F.sum("times").alias("n")).where(F.col("n") >= least)
+    own = _binned(units.groupBy(F.col(text_col).alias("text")).agg(F.count(F.lit(1)).alias("times")), "text").select("_bin", "_w", "times")
+    counts = own.select("times", F.explode("_w").alias("word")).groupBy("word").agg(F.sum("times").cast("double").alias("n")).where(F.col("n") >= least)
     total = units.select(F.count(F.lit(1)).alias("total"))
-    weights = counts.crossJoin(F.broadcast(total)).select("word", F.log(1 + F.col("total") / F.col("n")).alias("weight"))  # one row
-    indexed = words.join(weights, "word").withColumn("own", F.transform(index_vector(F.col("word")), lambda x: x * F.col("weight")))
-    company = indexed.groupBy("_row").agg(*_sum("own")).select("_row", _gathered().alias("all"))
-    met = indexed.join(company, "_row").select("word", "weight", F.zip_with("all", "own", lambda a, b: (a - b) * F.col("times")).alias("rest"))
+    weights = counts.crossJoin(F.broadcast(total)).select("word", F.log(1 + F.col("total") / F.col("n")).alias("weight"), _places(F.col("word")).alias("places"))  # one row
+    met = _in_bins(own, weights, _company, "word string, weight double, rest array<double>")
     summed = met.groupBy("word").agg(F.max("weight").alias("weight"), *_sum("rest")).select("word", "weight", _gathered().alias("v"))
-    known = F.exists("v", lambda x: F.abs(x) > 1e-9)
-    return summed.select("word", "weight", F.when(known, _unit(F.col("v"))).alias("vector"))
+    return summed.select("word", "weight", F.when(_known("v"), _unit(F.col("v"))).alias("vector"))
 
 
 def text_vectors(rows: DataFrame, words: DataFrame, keys: tuple[str, ...], text_col: str = "text") -> DataFrame:
     """(keys…, vector) of texts with a known word."""
-    own = rows.select(*keys, F.explode(words_of(F.col(text_col))).alias("word"))
-    met = own.join(words.where("vector is not null"), "word").withColumn("x", F.transform("vector", lambda v: v * F.col("weight")))
+    own = _binned(rows.select(*keys, F.col(text_col).alias("_text")), "_text").drop("_text")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keys).schema.fields)
+    met = _in_bins(own, words.where("vector is not null"), _weighted, f"{kinds}, x array<double>")
     summed = met.groupBy(*keys).agg(*_sum("x")).select(*keys, _gathered().alias("v"))
-    return summed.where(F.exists("v", lambda x: F.abs(x) > 1e-9)).select(*keys, _unit(F.col("v")).alias("vector"))
+    return summed.where(_known("v")).select(*keys, _unit(F.col("v")).alias("vector"))
 
 
 def title_likeness(original: DataFrame, result: DataFrame, words: DataFrame) -> DataFrame:

@@ -72,3 +72,22 @@ def test_all_levels_in_one_report(spark, sf):
     assert len(ends) == 6 and {r.doc_id: r.pipeline_ready for r in ends} == {r.doc_id: r.quality_passed for r in rows}
     _, plain = pipeline.run(docs, Pipeline(language="en"))
     assert all(set(r.level_scores) == {"level_1", "level_3", "level_4"} for r in plain.collect())
+
+
+def test_bins_change_nothing(spark, monkeypatch):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choices([f"w{i}" for i in range(50)], k=rng.randrange(0, 30))) for _ in range(300)] * 2
+    units = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+    def both():
+        words = vectors.word_vectors(units)
+        return {r.word: (r.weight, r.vector) for r in words.collect()}, {r.doc_id: r.vector for r in vectors.text_vectors(units, words, ("doc_id",)).collect()}
+
+    one = both()
+    monkeypatch.setattr(vectors, "BIN", 4000)
+    monkeypatch.setattr(vectors, "PAIRS", 7)
+    assert vectors._binned(units, "text").select("_bin").distinct().count() > 20
+    many = both()
+    assert one[0].keys() == many[0].keys() and one[1].keys() == many[1].keys() and len(one[1]) == sum(t != "" for t in texts)
+    assert all(one[0][w][0] == many[0][w][0] and np.allclose(one[0][w][1], many[0][w][1]) for w in one[0])
+    assert all(np.allclose(one[1][d], many[1][d]) for d in one[1])
