@@ -158,7 +158,9 @@ def text_vectors(rows: DataFrame, words: DataFrame, keys: tuple[str, ...], text_
 
 def title_likeness(original: DataFrame, result: DataFrame, words: DataFrame) -> DataFrame:
     """(doc_id, semantic): cosine of the sums of both sides' title vectors (doc_id, pos, title), at least 0; 0 where a side has none."""
-    side = lambda d, to: text_vectors(d, words, ("doc_id", "pos"), "title").groupBy("doc_id").agg(*_sum("vector")).select("doc_id", _gathered().alias(to))
+    # Equal titles of a document are one with a count.
+    each = lambda d: text_vectors(d.groupBy("doc_id", "title").agg(F.count(F.lit(1)).alias("n")), words, ("doc_id", "title", "n"), "title")
+    side = lambda d, to: each(d).withColumn("x", let(F.col("n"), lambda n: F.transform("vector", lambda v: v * n))).groupBy("doc_id").agg(*_sum("x")).select("doc_id", _gathered().alias(to))
     both = side(original, "x").join(side(result, "y"), "doc_id")
     cosine = F.try_divide(dot(F.col("x"), F.col("y")), F.sqrt(dot(F.col("x"), F.col("x"))) * F.sqrt(dot(F.col("y"), F.col("y"))))
     docs = original.select("doc_id").union(result.select("doc_id")).distinct()

@@ -91,3 +91,12 @@ def test_bins_change_nothing(spark, monkeypatch):
     assert one[0].keys() == many[0].keys() and one[1].keys() == many[1].keys() and len(one[1]) == sum(t != "" for t in texts)
     assert all(one[0][w][0] == many[0][w][0] and np.allclose(one[0][w][1], many[0][w][1]) for w in one[0])
     assert all(np.allclose(one[1][d], many[1][d]) for d in one[1])
+
+
+def test_equal_titles_are_met_once(spark, monkeypatch):
+    met, binned = [], vectors._binned
+    monkeypatch.setattr(vectors, "_binned", lambda rows, col: met.append(rows.count()) or binned(rows, col))
+    a = spark.createDataFrame([(i % 2, i, t) for i, t in enumerate(["ice snow", "Snow frost", "ice snow"] * 100)], "doc_id long, pos long, title string")
+    words = vectors.word_vectors(a.select("title"), "title")
+    got = {r.doc_id: r.semantic for r in vectors.title_likeness(a, a.where("pos > 5"), words).collect()}
+    assert got == pytest.approx({0: 1.0, 1: 1.0}) and met == [2, 4, 4]
