@@ -62,3 +62,30 @@ def test_documents(spark, sf):
         assert r.d == r.n and r.s == difflib.SequenceMatcher(None, r.text, r.b).ratio()
     none = spark.createDataFrame([(None, "a"), ("a", None), (None, None), ("", "")], "a string, b string")
     assert [tuple(r) for r in none.select(similarity.edit_distance("a", "b"), similarity.sequence_ratio("a", "b")).collect()] == [(None, 0.0), (None, 0.0), (None, 1.0), (0, 1.0)]
+
+
+def test_long_texts_take_no_pairs(monkeypatch):
+    """A text of 400,000 characters and what is left of it: one pass, where pairs of places and columns of bits took minutes."""
+    rng = random.Random(6)
+    chars = "etaoin shrdlu" * 12 + "ETAOINSHRDLUBCDFGJKMPQVWXYZ"
+    a = "".join(rng.choices(chars, k=400_000))
+    b = a.replace("e", "")
+    monkeypatch.setattr(alike.np, "packbits", None)  # no column of bits
+    looked, listed = [0], alike._listed
+
+    def counted(places, numbers):
+        looked[0] += len(places)
+        return listed(places, numbers)
+
+    monkeypatch.setattr(alike, "_listed", counted)
+    assert alike.edit_distance(a, b) == alike.edit_distance(b, a) == len(a) - len(b)
+    assert 0.5 < alike.block_ratio(a, b) < 1 and 0 < looked[0] < 2 * len(a)
+    assert alike.block_ratio(a[:9000], b[:9000]) == difflib.SequenceMatcher(None, a[:9000], b[:9000]).ratio()
+
+
+def test_crossed_and_long_runs():
+    rng = random.Random(7)
+    wide = "".join(map(chr, range(0x4E00, 0x4E00 + 3000)))
+    x, y = ("".join(rng.choices(wide, k=3000)) for _ in range(2))
+    for a, b in ((x + y, y + x), (x, x), (x + "a" * 500 + y, x[5:] + "a" * 300 + y[:-7]), (x, y), ("a" * 300 + x, "a" * 200 + y)):
+        assert alike.block_ratio(a, b) == difflib.SequenceMatcher(None, a, b).ratio()
