@@ -194,9 +194,9 @@ def _literal(words: DataFrame) -> list[str] | None:
     return found if len(found) <= LITERAL_WORDS else None
 
 
-def term_spans(df: DataFrame, words: DataFrame) -> DataFrame:
-    """``df`` (with ``_text``) and ``added``: the spans of ``words.term`` in each text."""
-    few = _literal(words)
+def term_spans(df: DataFrame, words: DataFrame, instead: str | None = None) -> DataFrame:
+    """``df`` (with ``_text``) and ``added``: the spans of ``words.term`` in each text; ``instead`` names a map of the text's words to ``words.instead``."""
+    few = _literal(words) if instead is None else None
     if few is not None:
         if not few:
             return df.withColumn("added", _none())
@@ -205,11 +205,13 @@ def term_spans(df: DataFrame, words: DataFrame) -> DataFrame:
         any_told = F.exists(F.regexp_extract_all(masked, F.lit(TERM), 0), told)
         return df.withColumn("added", F.when(any_told, F.filter(_matches(masked, TERM, 4), lambda s: told(s["value"]))).otherwise(_none()))
     keyed = df.withColumn("_digest", F.sha2("_text", 256))
-    hits = keyed.dropDuplicates(["_digest"]).select("_digest", F.explode(terms_of(F.col("_text"))).alias("term")).join(words.select("term").hint("merge"), "term", "left_semi")
-    own = hits.groupBy("_digest").agg(F.collect_set("term").alias("_told"))
+    said = "instead" if instead else "term"
+    hits = keyed.dropDuplicates(["_digest"]).select("_digest", F.explode(terms_of(F.col("_text"))).alias("term")).join(words.select("term", F.col(said).alias("_said")).hint("merge"), "term")
+    own = hits.groupBy("_digest").agg(F.map_from_entries(F.collect_list(F.struct("term", "_said"))).alias("_told"))
     both = keyed.join(own.hint("merge"), "_digest", "left").drop("_digest")
-    some = F.filter(_matches(_masked(F.col("_text")), TERM, 4), lambda s: F.array_contains("_told", F.lower(s["value"])))
-    return both.withColumn("added", F.when(F.col("_told").isNotNull(), some).otherwise(_none())).drop("_told")
+    some = F.filter(_matches(_masked(F.col("_text")), TERM, 4), lambda s: F.map_contains_key("_told", F.lower(s["value"])))
+    marked = both.withColumn("added", F.when(F.col("_told").isNotNull(), some).otherwise(_none()))
+    return marked.withColumnRenamed("_told", instead) if instead else marked.drop("_told")
 
 
 def find_personal_data(df: DataFrame, text_col: str = "text", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -248,16 +250,19 @@ def sanitise(df: DataFrame, text_col: str = "text") -> DataFrame:
     about = Disclosures(df, found, text_col)
     row = F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_row")
     packed = df.select(row, F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_text")).withColumn("_spans", base_spans(F.col("_text")))
-    rows = term_spans(packed, about.words)
     labels = F.array(*map(F.lit, LABELS))
-    few = about.general().limit(LITERAL_WORDS + 1).collect() if not about.words.isEmpty() else []
+    # Few words go to the scan as literals, more by join with what each text says: the same classes either way.
+    general = about.general() if not about.words.isEmpty() else None
+    few = general.limit(LITERAL_WORDS + 1).collect() if general is not None else []
     if len(few) <= LITERAL_WORDS:
-        table = F.create_map(*(F.lit(x) for r in few for x in (r.term, r.instead))) if few else None
-        general = (lambda s: F.coalesce(F.try_element_at(table, F.lower(s["value"])), F.lit(""))) if few else (lambda s: F.lit(""))
-    else:  # too many to carry: the shortest class
-        general = lambda s: F.concat(F.left(F.lower(s["value"]), F.lit(PREFIXES[-1])), F.lit("*"))
+        rows = term_spans(packed, about.words)
+        table = F.create_map(*(F.lit(x) for r in few for x in (r.term, r.instead))) if few else F.create_map().cast("map<string,string>")
+    else:
+        rows = term_spans(packed, general, "_instead")
+        table = F.col("_instead")
+    stead = lambda s: F.coalesce(F.try_element_at(table, F.lower(s["value"])), F.lit(""))
     both = F.sort_array(F.concat("_spans", "added"))
-    new = F.when(F.size("_spans") + F.size("added") > 0, _replaced(F.col("_text"), F.col("_both"), lambda s: F.when(s["ord"] == 4, general(s)).otherwise(F.get(labels, s["ord"])))).otherwise(F.col(f"_row.`{text_col}`"))
+    new = F.when(F.size("_spans") + F.size("added") > 0, _replaced(F.col("_text"), F.col("_both"), lambda s: F.when(s["ord"] == 4, stead(s)).otherwise(F.get(labels, s["ord"])))).otherwise(F.col(f"_row.`{text_col}`"))
     clean = rows.withColumn("_both", both).withColumn("_new", new)
     return clean.select(*(F.col("_new").alias(c) if c == text_col else F.col(f"_row.`{c}`").alias(c) for c in df.columns))
 

@@ -141,6 +141,17 @@ def test_many_disclosing_words_are_joined(spark, monkeypatch):
     assert sorted(map(str, pii.query(df).collect())) == want and any("term" in w for w in want)
 
 
+def test_classes_do_not_depend_on_how_many_words_disclose(spark, monkeypatch):
+    rows = [(i, f"number {i} was sent by Zarquon and QUOXLEY from jane@corp.example to the office") for i in range(5)]
+    rows += [(100 + i, f"the office wrote that number {i} was sent") for i in range(200)]
+    rows += [(2000 + i, "zanzibar wrote to the office") for i in range(80)] + [(999, "Zarquon is far away, quoxley is not"), (998, "zarquon"), (None, None), (0, "the office")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    few = sorted(map(str, pii.sanitise(df).collect()))
+    monkeypatch.setattr(pii, "LITERAL_WORDS", 0)
+    assert sorted(map(str, pii.sanitise(df).collect())) == few
+    assert str(df.select("doc_id", "text").first().__class__("doc_id", "text")(999, "za* is far away,  is not")) in few
+
+
 def test_time_follows_the_number_of_spans(spark):
     took = []
     for n in (500, 4000, 8000):
