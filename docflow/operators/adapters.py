@@ -1,6 +1,6 @@
 """External models and programs behind small interfaces, with stand-ins that run anywhere.
 
-An adapter runs on executors through ``mapInPandas`` or a Pandas UDF; it is made once for each worker process.
+An adapter runs on executors through Arrow batches, pandas or a Pandas UDF; it is made once for each worker process.
 """
 
 from __future__ import annotations
@@ -11,8 +11,11 @@ from dataclasses import dataclass
 from typing import Protocol
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 
 class TextModel(Protocol):
@@ -56,6 +59,34 @@ class TextExtractor:
         return {"title": text.split("\n", 1)[0].lstrip("# ").strip(), "markdown_content": text, "raw_text": text}
 
 
+#: Bytes of Arrow data that become Python objects at a time, whatever the size of Spark's batches.
+PIECE = 4 << 20
+
+
+def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches halved until a piece has at most ``PIECE`` bytes or one row, so that what a worker holds does not follow a batch."""
+    for batch in batches:
+        parts = [batch]
+        while parts:
+            part = parts.pop()
+            half = part.num_rows // 2
+            if half and part.nbytes > PIECE:
+                parts += [part.slice(half), part.slice(0, half)]
+            elif part.num_rows:
+                yield part
+
+
+def in_pieces(rows: DataFrame, work: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str) -> DataFrame:
+    """``rows.mapInPandas(work, schema)`` by pieces; ``work`` yields one frame or more for each, in the schema's columns."""
+    kinds = pa.schema([(f.name, f.type) for f in to_arrow_schema(StructType.fromDDL(schema))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for out in work(piece.to_pandas() for piece in pieces(batches)):
+            yield from pa.Table.from_pandas(out, kinds, preserve_index=False).to_batches()
+
+    return rows.mapInArrow(run, schema)
+
+
 ANSWER = "ok boolean, text string, error string, attempts int"
 
 
@@ -78,7 +109,7 @@ def answered(prompts: DataFrame, make: Callable[[], TextModel], prompt_col: str
                 rows.append((key, bool(text), text or None, error or (None if text else "empty answer"), n))
             yield pd.DataFrame(rows, columns=["key", "ok", "text", "error", "attempts"])
 
-    return asked.select("key", "prompt").mapInPandas(work, f"key string, {ANSWER}").withColumnRenamed("key", key_col)
+    return in_pieces(asked.select("key", "prompt"), work, f"key string, {ANSWER}").withColumnRenamed("key", key_col)
 
 
 def with_answers(rows: DataFrame, answers: DataFrame, prompt_col: str = "prompt", key_col: str = "key") -> DataFrame:
@@ -114,7 +145,7 @@ def extracted(files: DataFrame, make: Callable[[], Extractor]) -> DataFrame:
                     rows.append((path, None, None, None, f"{type(e).__name__}: {e}"))
             yield pd.DataFrame(rows, columns=["path", "title", "markdown_content", "raw_text", "error"])
 
-    return files.select("path", "content").mapInPandas(work, "path string, title string, markdown_content string, raw_text string, error string")
+    return in_pieces(files.select("path", "content"), work, "path string, title string, markdown_content string, raw_text string, error string")
 
 
 def extracted_with_fallback(files: DataFrame, first: Callable[[], Extractor], second: Callable[[], Extractor]) -> DataFrame:

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docflow.operators.adapters import TextModel
+from docflow.operators.adapters import TextModel, in_pieces
 from docflow.runtime import checkpointed
 
 #: Attempts, seconds before another one, and the statuses after which it is twice as long.
@@ -94,7 +94,7 @@ def _asked(rows: DataFrame, make: Callable[[int], TextModel], attempt: int) -> D
                 out.append((*row, text, status, error))
             yield pd.DataFrame(out, columns=[c.split(" ")[0] for c in TRIED.split(", ")]).astype({"status": "Int32"})
 
-    return rows.mapInPandas(work, TRIED)
+    return in_pieces(rows, work, TRIED)
 
 
 def attempts_of(prompts: DataFrame, make: Callable[[int], TextModel], clock: Clock | None = None, attempts: int = ATTEMPTS, delay: float = DELAY, prompt_col: str = "prompt") -> DataFrame:

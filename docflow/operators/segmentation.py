@@ -16,11 +16,12 @@ import re
 from collections.abc import Iterable, Iterator
 from math import inf, log
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docflow.functions.rx import CJK
+from docflow.operators.adapters import pieces
 
 #: Characters of a lexicon word, times it must occur, words that travel (some 20 bytes each).
 LONGEST, LEAST, MOST = 4, 5, 200_000
@@ -96,14 +97,13 @@ def segmented(rows: DataFrame, lexicon: Lexicon, columns: dict[str, str]) -> Dat
     """``rows`` with an array of words for each text column: ``columns`` maps the text's name to the words'."""
     names = list(columns)
 
-    def work(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            for name, to in columns.items():
-                part[to] = [lexicon.cut(t) for t in part[name]]
-            yield part
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in pieces(batches):
+            words = [pa.array([lexicon.cut(t) for t in part.column(name).to_pylist()], pa.list_(pa.string())) for name in names]
+            yield pa.RecordBatch.from_arrays([*part.columns, *words], [*part.schema.names, *(columns[n] for n in names)])
 
     kinds = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields), *(f"`{columns[n]}` array<string>" for n in names)])
-    return rows.mapInPandas(work, kinds)
+    return rows.mapInArrow(work, kinds)
 
 
 def token_overlap(a: Column, b: Column) -> Column:

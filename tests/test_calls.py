@@ -1,8 +1,10 @@
 """Calls in waves: the sequence of attempts and their due times equal the rule, whatever the service does."""
 
+import pandas as pd
+import pyarrow as pa
 import pytest
 
-from docflow.operators import calls, flows
+from docflow.operators import adapters, calls, flows
 
 #: What the service does at each attempt: an answer, a status, an exception, an empty answer.
 SCRIPTS = {
@@ -99,3 +101,19 @@ def test_a_wall_clock_waits_on_the_driver(spark, status, monkeypatch):
     long = [s for s in slept if s > 60]  # others may sleep for moments
     want = {None: [1000], 429: [2000], 404: []}[status]
     assert len(long) == len(want) and all(w - 60 <= s <= w for s, w in zip(long, want, strict=True))
+
+
+def test_workers_hold_pieces_of_a_batch(spark):
+    """Frames are bounded in bytes, where a batch of Spark's has 10,000 rows of any size."""
+    long = spark.range(0, 1200, 1, 1).selectExpr("repeat(concat(id, ' '), if(id = 7, 2000000, 4000)) AS prompt")
+
+    def sizes(parts):
+        for part in parts:
+            yield pd.DataFrame({"rows": [len(part)], "chars": [part["prompt"].str.len().sum()]})
+
+    got = adapters.in_pieces(long, sizes, "rows int, chars long").collect()
+    assert sum(r.rows for r in got) == 1200 and all(r.chars <= adapters.PIECE or r.rows == 1 for r in got)
+    assert sum(r.chars for r in got) == long.selectExpr("sum(length(prompt)) AS n").first().n
+    batch = pa.record_batch({"x": ["a" * 1000] * 9000 + [None]})
+    cut = list(adapters.pieces(iter([batch, batch.slice(0, 0)])))
+    assert all(c.nbytes <= adapters.PIECE for c in cut) and pa.Table.from_batches(cut).equals(pa.Table.from_batches([batch]))
