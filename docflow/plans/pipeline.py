@@ -71,7 +71,7 @@ def all_levels(docs: DataFrame, make: Callable[..., adapters.TextModel], config:
     """
     coherence = None
     if config.trained_meaning:
-        coherence = vectors.section_coherence(docs, vectors.word_vectors(vectors.sections(docs, "translated")), "translated")
+        coherence = vectors.section_coherence(docs, vectors.section_words(docs, "translated"), "translated")
     rows = level_rows(docs, coherence)
     if pages is not None:
         likeness = pages.select("doc_id", images.ssim("before", "after", "before_width", "after_width").alias("ssim"))

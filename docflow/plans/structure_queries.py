@@ -130,8 +130,7 @@ def title_meaning(spark, sf_dir):
 def section_coherence(spark, sf_dir):
     """How much the sections of every Markdown document have to do with each other, by word vectors that all sections train."""
     docs = md_docs(spark, sf_dir)
-    words = vectors.word_vectors(vectors.sections(docs))
-    return vectors.section_coherence(docs, words).withColumn("semantic", F.round("semantic", 6))
+    return vectors.section_coherence(docs, vectors.section_words(docs)).withColumn("semantic", F.round("semantic", 6))
 
 
 @query(f"WITH {MATCHED}, {OVERALL}, n AS (SELECT doc_id, count(*) AS n1, (SELECT count(*) FROM b WHERE b.doc_id = a.doc_id) AS n2 FROM a GROUP BY doc_id), g AS (SELECT doc_id, count_if(match_type = 'missing') AS missing, count_if(match_type <> 'missing' AND NOT coalesce(hit.l = level, false)) AS levels, count_if(match_type = 'approximate') AS approximate FROM j GROUP BY doc_id) SELECT doc_id, missing::bigint AS missing, levels::bigint AS levels, approximate::bigint AS approximate, array_to_string(list_filter([CASE WHEN overall < 0.9 THEN 'low similarity' END, CASE WHEN missing > 0 THEN 'missing headings' END, CASE WHEN levels > 0 THEN 'levels differ' END, CASE WHEN abs(n1 - n2) > n1 * 0.1 THEN 'counts differ' END, CASE WHEN approximate > n1 * 0.2 THEN 'approximate matches' END], lambda x: x IS NOT NULL), ',') AS issues FROM n JOIN g USING (doc_id) JOIN ov USING (doc_id)")

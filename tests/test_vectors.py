@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,3 +101,39 @@ def test_equal_titles_are_met_once(spark, monkeypatch):
     words = vectors.word_vectors(a.select("title"), "title")
     got = {r.doc_id: r.semantic for r in vectors.title_likeness(a, a.where("pos > 5"), words).collect()}
     assert got == pytest.approx({0: 1.0, 1: 1.0}) and met == [2, 4, 4]
+
+
+def test_disk_follows_the_texts(spark):
+    """Only words that are asked for have vectors under way, and texts are shuffled once."""
+    rng, said = random.Random(5), [f"{i:05x}" for i in range(20000)]
+    docs = spark.createDataFrame([(i, ("# 00001 00002 00003\n## b\n" if i < 5 else "") + " ".join(rng.choices(said, k=300))) for i in range(400)], "doc_id long, md string")
+    written = lambda: sum(e.totalShuffleWrite() for e in (lambda found: [found.apply(i) for i in range(found.size())])(spark._jsc.sc().statusStore().executorList(False)))
+    before = written()
+    got = {r.doc_id: r.semantic for r in vectors.section_coherence(docs, vectors.section_words(docs)).collect()}
+    assert written() - before < 5 * docs.select(F.sum(F.octet_length("md"))).first()[0]
+    whole = {r.doc_id: r.semantic for r in vectors.section_coherence(docs, vectors.word_vectors(vectors.sections(docs))).collect()}
+    assert got == pytest.approx(whole, abs=1e-9) and len(got) == 400 and all(got[i] == vectors.ALONE for i in range(5, 400)) and got[0] != vectors.ALONE
+
+
+def test_words_that_are_asked_for(spark):
+    docs = spark.createDataFrame([(1, "ice snow\n## frost ice"), (2, "snow ledger ice"), (3, "ledger stock"), (4, None)], "doc_id long, md string")
+    every = {r.word: r for r in vectors.word_vectors(vectors.sections(docs)).collect()}
+    some = {r.word: r for r in vectors.section_words(docs).collect()}
+    assert set(some) == {"ice", "snow", "frost"} and set(every) == {*some, "ledger", "stock"}
+    assert all(some[w].weight == every[w].weight and np.allclose(some[w].vector, every[w].vector, atol=1e-11) for w in some)
+
+
+def test_vectors_under_way(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    matrix = rng.standard_normal((200, vectors.SIZE)) * 10.0 ** rng.integers(-9, 9, 200)[:, None]
+    matrix[0] = 0
+    matrix[1, 0] = -(10.0**12)
+    sent = pa.table(vectors._whole(matrix))
+    got = np.array([[r[f"d{d}"] for d in range(vectors.SIZE)] for r in spark.createDataFrame(sent).select(*(vectors._component(d).alias(f"d{d}") for d in range(vectors.SIZE))).collect()])
+    assert (np.abs(got - matrix) <= np.abs(matrix).max(axis=1)[:, None] * 2.0**-39).all() and not got[0].any()
+    units = spark.createDataFrame([(i, " ".join(f"w{rng.integers(60)}" for _ in range(12))) for i in range(300)], "doc_id long, text string")
+    one = {r.word: r.vector for r in vectors.word_vectors(units).collect()}
+    monkeypatch.setattr(vectors, "PIECE", 500)
+    monkeypatch.setattr(vectors, "PART", 7)
+    many = {r.word: r.vector for r in vectors.word_vectors(units).collect()}
+    assert one.keys() == many.keys() and all(np.allclose(one[w], many[w], atol=1e-11) for w in one)
